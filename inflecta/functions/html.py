@@ -6,12 +6,17 @@ rule on what they mean is a Spark expression over its result.
 
 from __future__ import annotations
 
+import sys
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship this module with the function, so that executors need no installed copy of the library.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Elements without content, and which open elements a start tag closes, up to which.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 CLOSES = {
@@ -65,6 +70,8 @@ class _Walker(HTMLParser):
             self.line_starts.append(at + 1)
             at = html.find("\n", at + 1)
         self.stack: list[dict] = []
+        self.open: dict[str, list[dict]] = {kind: [] for kind in ("block", "tense", "line", "cell", "item")}
+        self.skipped = 0
         self.pieces: list[str] = []
         self.length = 0
         self.count = 0
@@ -94,8 +101,9 @@ class _Walker(HTMLParser):
         line, column = self.getpos()
         return self.line_starts[line - 1] + column
 
-    def _inside(self, kind: str) -> list[dict]:
-        return [e[kind] for e in self.stack if e.get(kind) is not None]
+    def _enter(self, element: dict, kind: str, node: dict) -> None:
+        element.setdefault("kinds", []).append(kind)
+        self.open[kind].append(node)
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES:
@@ -113,10 +121,11 @@ class _Walker(HTMLParser):
         if tag in ("div", "article"):
             self._open_block(element)
         elif tag == "li":
-            element["item"] = {"href": None, "first": True, "pieces": [], "within": self._path()}
-            self.items.append(element["item"])
+            item = {"href": None, "first": True, "pieces": [], "within": self._path()}
+            self.items.append(item)
+            self._enter(element, "item", item)
         elif tag == "a":
-            for item in self._inside("item"):
+            for item in self.open["item"]:
                 if item["first"]:
                     item["first"], item["href"] = False, values.get("href") or None
         else:
@@ -141,19 +150,11 @@ class _Walker(HTMLParser):
             return
         self.pieces.append(data)
         self.length += len(data)
-        for element in self.stack:
-            if element.get("item") is not None:
-                element["item"]["pieces"].append(data)
-            if element.get("cell") is not None and self._outside_variants(element):
-                element["cell"]["main"].append(data)
-
-    def _outside_variants(self, cell: dict) -> bool:
-        """Whether the text belongs to the main form: not in a variant span directly under the cell."""
-        at = next(i for i, element in enumerate(self.stack) if element is cell)
-        if at + 1 == len(self.stack):
-            return True
-        child = self.stack[at + 1]
-        return child["tag"] != "span" or not {"or", "forme_rectif"} & set(child["classes"])
+        for item in self.open["item"]:
+            item["pieces"].append(data)
+        if not self.skipped:
+            for cell in self.open["cell"]:
+                cell["main"].append(data)
 
     def _path(self) -> list[str]:
         path = []
@@ -170,38 +171,42 @@ class _Walker(HTMLParser):
             "tag": element["tag"],
             "id": element["id"],
             "classes": element["classes"],
-            "anc": [b["ord"] for b in self._inside("block")],
+            "anc": [b["ord"] for b in self.open["block"]],
             "start": self._offset(),
             "text_start": self.length,
         }
         self.count += 1
         self.blocks.append(block)
-        element["block"] = block
+        self._enter(element, "block", block)
         if "tense" in element["classes"]:
-            element["tense"] = {
+            tense = {
                 "ord": block["ord"], "anc": block["anc"], "start": block["start"],
                 "headings": [], "lines": [], "tables": 0, "aux_span": None,
             }
-            self.tenses.append(element["tense"])
+            self.tenses.append(tense)
+            self._enter(element, "tense", tense)
 
     def _open_table_part(self, element: dict) -> None:
         tag, classes = element["tag"], element["classes"]
-        tenses, lines = self._inside("tense"), self._inside("line")
+        tenses, lines = self.open["tense"], self.open["line"]
+        if not tenses:
+            return
         if tag == "table":
             for tense in tenses:
                 tense["tables"] += 1
                 element.setdefault("first_of", [])
                 if tense["tables"] == 1:
                     element["first_of"].append(tense)
-        elif tag == "h4" and tenses:
+        elif tag == "h4":
             element["heading"] = {"relation": "relation" in classes}
             for tense in tenses:
                 tense["headings"].append(element["heading"])
-        elif tag == "tr" and tenses and "conj_line" in classes:
-            element["line"] = {"main": None, "has_or": False, "rectifs": [], "spans": {}}
+        elif tag == "tr" and "conj_line" in classes:
+            line = {"main": None, "has_or": False, "rectifs": [], "spans": {}}
+            self._enter(element, "line", line)
             for tense in tenses:
-                tense["lines"].append(element["line"])
-        if tag == "td" and "conj_auxil" in classes:
+                tense["lines"].append(line)
+        elif tag == "td" and "conj_auxil" in classes:
             element["aux_of"] = [t for e in self.stack for t in e.get("first_of", []) if t["aux_span"] is None]
         if lines:
             name = self._field(tag, classes)
@@ -210,12 +215,20 @@ class _Walker(HTMLParser):
                 element["field"] = (lines[-1], name)
                 if name == "full":
                     lines[-1]["main"] = []
-                    element["cell"] = lines[-1]
-            if tag == "span":
-                for cell in self._inside("cell"):
-                    cell["has_or"] = cell["has_or"] or "or" in classes
-                    if "forme_rectif" in classes:
-                        element["rectif_of"] = cell
+                    self._enter(element, "cell", lines[-1])
+            elif tag == "span" and self.open["cell"]:
+                self._open_variant(element)
+
+    def _open_variant(self, element: dict) -> None:
+        """A span in a verb cell; text of a variant directly under the cell is not part of the main form."""
+        cell = self.open["cell"][-1]
+        is_or, is_reform = "or" in element["classes"], "forme_rectif" in element["classes"]
+        cell["has_or"] = cell["has_or"] or is_or
+        if is_reform:
+            element["rectif_of"] = cell
+        if (is_or or is_reform) and "cell" in self.stack[-1].get("kinds", ()):
+            element["skips"] = True
+            self.skipped += 1
 
     @staticmethod
     def _field(tag: str, classes: list[str]) -> str | None:
@@ -232,17 +245,20 @@ class _Walker(HTMLParser):
         while len(self.stack) > depth:
             element = self.stack.pop()
             span = (element["at"], self.length)
-            if element.get("block") is not None:
-                element["block"]["end"] = offset
-                element["block"]["text_end"] = self.length
-            if element.get("tense") is not None:
-                element["tense"]["end"] = offset
-            if element.get("heading") is not None:
+            for kind in element.get("kinds", ()):
+                node = self.open[kind].pop()
+                if kind == "block":
+                    node["end"], node["text_end"] = offset, self.length
+                elif kind == "tense":
+                    node["end"] = offset
+            if "skips" in element:
+                self.skipped -= 1
+            if "heading" in element:
                 element["heading"]["span"] = span
-            if element.get("field") is not None:
+            if "field" in element:
                 line, name = element["field"]
                 line["spans"][name] = span
-            if element.get("rectif_of") is not None:
+            if "rectif_of" in element:
                 element["rectif_of"]["rectifs"].append(span)
             for tense in element.get("aux_of", []):
                 tense["aux_span"] = span

@@ -21,6 +21,7 @@ def get_session(master: str | None = None, app: str = "inflecta", **conf: str) -
         "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
         "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     for key, value in settings.items():
