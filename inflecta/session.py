@@ -36,7 +36,7 @@ def durable(df: DataFrame) -> DataFrame:
     (tests, local runs) is a temporary one made.
     """
     context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if not folder:
             folder = tempfile.mkdtemp(prefix="inflecta-checkpoint-", dir=os.environ.get("TMPDIR", "/tmp"))
