@@ -69,57 +69,66 @@ def _quoted(text: Column) -> Column:
     return F.coalesce(in_array.substr(F.lit(2), F.length(in_array) - 2), F.lit("null"))
 
 
-def _object(members: Column) -> Column:
-    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+def _object(members: Column, depth: int, indent: int) -> Column:
+    """A JSON object; with ``indent`` one member per line, ``depth`` levels deep."""
+    if not indent:
+        return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+    inner, outer = "\n" + " " * indent * (depth + 1), "\n" + " " * indent * depth
+    filled = F.concat(F.lit("{" + inner), F.array_join(members, "," + inner), F.lit(outer + "}"))
+    return F.when(F.size(members) == 0, "{}").otherwise(filled)
 
 
-def _collected(order: Column, key: Column, value: Column) -> Column:
-    """Members ``"key":value`` in order. A level of an entry has a fixed small number of members."""
-    member = F.concat(_quoted(key), F.lit(":"), value)
-    entry = F.when(key.isNotNull() & value.isNotNull(), F.struct(order.alias("o"), key.alias("k"), member.alias("m")))
-    return F.transform(F.array_sort(F.collect_set(entry)), lambda e: e["m"])
+def _member(key: Column, value: Column, indent: int) -> Column:
+    return F.concat(_quoted(key), F.lit(": " if indent else ":"), value)
 
 
-def nested_entries(verbs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(verb, entry): one JSON text per verb, keys in the fixed orders.
+def _collected(order: Column, key: Column, value: Column, indent: int) -> Column:
+    """Members in order. A level of an entry has a fixed small number of members."""
+    entry = F.struct(order.alias("o"), key.alias("k"), _member(key, value, indent).alias("m"))
+    entries = F.collect_set(F.when(key.isNotNull() & value.isNotNull(), entry))
+    return F.transform(F.array_sort(entries), lambda e: e["m"])
+
+
+def nested_entries(verbs: DataFrame, rows: DataFrame, indent: int = 0) -> DataFrame:
+    """(verb, entry): one JSON text per verb, keys in the fixed orders, compact or indented.
 
     Rows are shuffled once, by verb; the levels of the entry are then grouped in place.
     """
     rank = dims.rank_of
     placed = rows.repartition("verb")
+    person_rank = F.coalesce(dims.first_person_rank(F.col("personne")), rank(_PARTICIPLE_ORDER, F.col("personne")))
     tenses = placed.groupBy("verb", "voice", "mood", "tense").agg(
-        _object(
-            _collected(
-                F.coalesce(dims.first_person_rank(F.col("personne")), rank(_PARTICIPLE_ORDER, F.col("personne"))),
-                F.col("personne"),
-                _quoted(F.col("conjugaison")),
-            )
-        ).alias("members"),
+        _object(_collected(person_rank, F.col("personne"), _quoted(F.col("conjugaison")), indent), 3, indent).alias("members"),
         F.max(F.when(F.col("personne").isNull(), F.col("conjugaison"))).alias("text"),
     )
     value = F.when(F.col("text").isNotNull(), _quoted(F.col("text"))).otherwise(F.col("members"))
     moods = tenses.groupBy("verb", "voice", "mood").agg(
-        _object(_collected(rank(dims.TENSE_ORDER, F.col("tense")), F.col("tense"), value)).alias("members"),
+        _object(_collected(rank(dims.TENSE_ORDER, F.col("tense")), F.col("tense"), value, indent), 2, indent).alias("members"),
         F.max(F.when(F.col("tense") == "present", value)).alias("present"),
         F.max(F.when(F.col("tense") == "passe", F.col("members"))).alias("passe"),
     )
-    participle = F.concat(
-        F.lit('{"present":'), F.coalesce("present", F.lit("null")), F.lit(',"passe":'), F.coalesce("passe", F.lit("{}")), F.lit("}")
+    participle = F.array(
+        _member(F.lit("present"), F.coalesce("present", F.lit("null")), indent),
+        _member(F.lit("passe"), F.coalesce("passe", F.lit("{}")), indent),
     )
-    body = F.when(F.col("mood") == "participe", participle).otherwise(F.col("members"))
+    body = F.when(F.col("mood") == "participe", _object(participle, 2, indent)).otherwise(F.col("members"))
     voices = moods.groupBy("verb", "voice").agg(
-        _object(_collected(rank(dims.MOOD_ORDER, F.col("mood")), F.col("mood"), body)).alias("body")
+        _object(_collected(rank(dims.MOOD_ORDER, F.col("mood")), F.col("mood"), body, indent), 1, indent).alias("body")
     )
     bodies = voices.groupBy("verb").agg(
-        _collected(rank(dims.VOICE_ORDER, F.col("voice")), F.col("voice"), F.col("body")).alias("voices")
+        _collected(rank(dims.VOICE_ORDER, F.col("voice")), F.col("voice"), F.col("body"), indent).alias("voices")
     )
+
+    def flag(name: str) -> Column:
+        return _member(F.lit(name), F.coalesce(F.col(name), F.lit(False)).cast("string"), indent)
+
     meta = F.array(
-        F.concat(F.lit('"rectification_1990":'), F.coalesce(F.col("rectification_1990"), F.lit(False)).cast("string")),
-        F.concat(F.lit('"rectification_1990_variante":'), _quoted(F.col("rectification_1990_variante"))),
-        F.concat(F.lit('"h_aspire":'), F.coalesce(F.col("h_aspire"), F.lit(False)).cast("string")),
+        flag("rectification_1990"),
+        _member(F.lit("rectification_1990_variante"), _quoted(F.col("rectification_1990_variante")), indent),
+        flag("h_aspire"),
     )
     members = F.concat(meta, F.coalesce("voices", F.array().cast("array<string>")))
-    return verbs.join(bodies, "verb", "left").select("verb", plain_apostrophe(_object(members)).alias("entry"))
+    return verbs.join(bodies, "verb", "left").select("verb", plain_apostrophe(_object(members, 0, indent)).alias("entry"))
 
 
 def store_records(entries: DataFrame) -> DataFrame:

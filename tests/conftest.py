@@ -22,6 +22,6 @@ def rows():
 
     def collect(df, *columns):
         picked = df.select(*columns) if columns else df
-        return sorted((tuple(row) for row in picked.collect()), key=str)
+        return sorted((tuple(row) for row in picked.collect()), key=lambda row: [(v is not None, v) for v in row])
 
     return collect
