@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.pages import conjugation_pages, extracted, stated
+from checks.pages import PAGE_TENSE, conjugation_pages, stated
 from checks.registry import query, table
-from checks.star import KEYS, conjugaisons, star, verbes, with_star
+from checks.star import KEYS, MODE, VOIX, conjugaisons, star, verbes, with_star
 from inflecta.functions import text as t
 from inflecta.operators import audit, extract, headwords, merging, reform
+from inflecta.operators.documents import invalid_records
 from inflecta.operators import star as st
 from inflecta.operators.numbering import number_rows
 from inflecta.plans import lookups
@@ -217,7 +218,7 @@ ARTICLE = "regexp_extract(html, '<article>(.*?)</article>', 1, 's')"
     "h7_h9_article_text",
     "SELECT page_id, words AS text, words LIKE '%the%' AS has_the FROM (SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace("
     + f"regexp_replace({ARTICLE}, '<[^>]*>', '', 'g')"
-    + r", '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&quot;', '""'), '&amp;', '&'), '[\s' || chr(160) || ']+', ' ', 'g')) AS words FROM pages WHERE html LIKE '%<article>%')",
+    + r", '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&quot;', chr(34)), '&amp;', '&'), '[\s' || chr(160) || ']+', ' ', 'g')) AS words FROM pages WHERE html LIKE '%<article>%')",
 )
 def _article(spark, sf):
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -410,8 +411,6 @@ def _t12(spark, sf):
 @query("v14_invalid_records", "SELECT doc_id AS verb FROM documents WHERE NOT json_valid(text)")
 def _v14(spark, sf):
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("verb"), F.col("text").alias("data"))
-    from inflecta.operators.documents import invalid_records
-
     return invalid_records(docs).select("verb")
 
 
@@ -442,9 +441,18 @@ def _k8(spark, sf):
     ),
 )
 def _h10(spark, sf):
+    names = verbes(spark, sf).select("id", F.col("infinitif").alias("verb"))
+    lines = table(spark, sf, "lineitem").selectExpr("l_partkey AS id", f"{VOIX} AS voice", f"{MODE} AS mood", f"{PAGE_TENSE} AS title").distinct()
+    tense = F.when(F.col("title") == "présent", "present").when(F.col("title") == "imparfait", "imparfait").otherwise("passe_compose")
+    finite = lines.select("id", "voice", "mood", tense.alias("tense"))
+    voices = lines.select("id", "voice").distinct()
+    parts = (
+        finite.unionByName(voices.select("*", F.lit("imperatif").alias("mood"), F.lit("present").alias("tense")))
+        .unionByName(voices.select("*", F.lit("participe").alias("mood"), F.lit("participe").alias("tense")))
+        .join(names, "id")
+        .select("verb", "voice", "mood", "tense")
+    )
     pages = conjugation_pages(spark, sf)
-    found = extracted(spark, sf)
-    parts = extract.tenses_of(found).unionByName(extract.moods_of(found).where("mood = 'participe'").withColumn("tense", F.lit("participe")))
-    verbs = found.select("verb", F.lit(None).cast("string").alias("rectification_1990_variante"))
+    verbs = names.select("verb", F.lit(None).cast("string").alias("rectification_1990_variante"))
     rows = audit.evidence(parts, verbs, pages)
     return rows.select("verb", "page_verb", "voice", "mood", "tense", F.regexp_extract("block", '^<div class="(grid">|tense"><h4 class="relation">)', 0).alias("starts"))

@@ -166,44 +166,73 @@ def participle_keys(rows: DataFrame) -> DataFrame:
 def evidence(units_: DataFrame, verbs: DataFrame, pages: DataFrame) -> DataFrame:
     """Units with ``block``, the part of the source page that states them; NULL if there is none.
 
-    Each page is parsed once: units are gathered per page (their number is fixed by the data model)
-    and only the cut-out blocks leave it.
+    Each page is parsed once: units are gathered per page (their number is fixed by the data model),
+    the blocks of the page are listed step by step, and only the cut-out texts leave it.
     """
     served = page_availability(verbs, pages).select("verb", "page_verb")
     wanted = units_.join(served, "verb").groupBy("verb", "page_verb").agg(F.collect_set(F.struct("voice", "mood", "tense")).alias("units"))
-    sources = pages.select(F.col("verb").alias("page_verb"), "html")
-    parsed = wanted.join(sources, "page_verb", "left").withColumn("nodes", page_nodes("html"))
-    divs = F.filter("nodes.blocks", lambda b: b["tag"] == "div")
+    parsed = wanted.join(pages.select(F.col("verb").alias("page_verb"), "html"), "page_verb", "left").withColumn("nodes", page_nodes("html"))
+    parsed = parsed.withColumn("divs", F.filter("nodes.blocks", lambda b: b["tag"] == "div"))
+
+    def first_with_id(div_id: str) -> Column:
+        return F.get(F.filter("divs", lambda b: b["id"] == div_id), 0)["ord"]
+
     # A voice block by its own id, else the generic active one.
-    own_id = dims.literal_map({voice: div_id for voice, div_id, _ in dims.VOICES})
-    suffix = dims.literal_map(dict(dims.MOODS))
-    title = dims.literal_map(dims.TITLE_OF_TENSE)
-
-    def block_of(u: Column) -> Column:
-        own = F.get(F.filter(divs, lambda b: b["id"] == own_id[u["voice"]]), 0)
-        generic = F.get(F.filter(divs, lambda b: (b["id"] == "voix_active") & u["voice"].startswith("voix_active")), 0)
-        voice_ord = F.coalesce(own, generic)["ord"]
-        mood_ord = F.get(
-            F.filter(
-                divs,
-                lambda b: F.array_contains(b["anc"], voice_ord)
-                & F.array_contains(b["classes"], "time")
-                & b["id"].endswith(F.concat(F.lit("_"), suffix[u["mood"]])),
-            ),
-            0,
-        )["ord"]
-        grid = F.get(F.filter(divs, lambda b: F.array_contains(b["anc"], mood_ord) & F.array_contains(b["classes"], "grid")), 0)
-        tense = F.get(
-            F.filter(
-                "nodes.tenses",
-                lambda t: F.array_contains(t["anc"], mood_ord)
-                & (F.lower(strip(F.get(F.filter(t["headings"], lambda h: h["relation"]), 0)["text"])) == title[u["tense"]]),
-            ),
-            0,
+    voice_blocks = F.array(
+        *[
+            F.struct(
+                F.lit(voice).alias("voice"),
+                F.coalesce(first_with_id(div_id), first_with_id("voix_active") if voice.startswith("voix_active") else F.lit(None)).alias("ord"),
+            )
+            for voice, div_id, _ in dims.VOICES
+        ]
+    )
+
+    def moods_of_voice(v: Column) -> Column:
+        inside = F.filter("divs", lambda b: F.array_contains(b["anc"], v["ord"]) & F.array_contains(b["classes"], "time"))
+        return F.array(
+            *[
+                F.struct(
+                    v["voice"].alias("voice"),
+                    F.lit(mood).alias("mood"),
+                    F.get(F.filter(inside, lambda b: b["id"].endswith(f"_{suffix}")), 0)["ord"].alias("ord"),
+                )
+                for mood, suffix in dims.MOODS
+            ]
         )
-        participle = u["mood"] == "participe"
-        start = F.when(participle, grid["start"]).otherwise(tense["start"])
-        end = F.when(participle, grid["end"]).otherwise(tense["end"])
-        return F.struct(u["voice"].alias("voice"), u["mood"].alias("mood"), u["tense"].alias("tense"), F.substring(F.col("html"), start + 1, end - start).alias("block"))
 
-    return parsed.select("verb", "page_verb", F.explode(F.transform("units", block_of)).alias("u")).select("verb", "page_verb", "u.*")
+    def part(m: Column, tense: Column, node: Column) -> Column:
+        key = F.concat_ws("|", m["voice"], m["mood"], tense)
+        return F.struct(key.alias("key"), node["start"].alias("start"), node["end"].alias("end"))
+
+    def grids(m: Column) -> Column:
+        found = F.filter("divs", lambda b: F.array_contains(b["anc"], m["ord"]) & F.array_contains(b["classes"], "grid"))
+        return F.transform(F.slice(found, 1, 1), lambda b: part(m, F.lit("participe"), b))
+
+    tense_of = dims.literal_map(dims.TENSE_OF_TITLE)
+
+    def tenses(m: Column) -> Column:
+        found = F.filter("nodes.tenses", lambda n: F.array_contains(n["anc"], m["ord"]))
+        return F.transform(found, lambda n: part(m, tense_of[_title(n)], n))
+
+    def _title(n: Column) -> Column:
+        return F.lower(strip(F.get(F.filter(n["headings"], lambda h: h["relation"]), 0)["text"]))
+
+    parsed = parsed.withColumn("voice_blocks", F.filter(voice_blocks, lambda v: v["ord"].isNotNull()))
+    parsed = parsed.withColumn("moods", F.filter(F.flatten(F.transform("voice_blocks", moods_of_voice)), lambda m: m["ord"].isNotNull()))
+    parsed = parsed.withColumn(
+        "parts",
+        F.concat(
+            F.flatten(F.transform(F.filter("moods", lambda m: m["mood"] == "participe"), grids)),
+            F.flatten(F.transform(F.filter("moods", lambda m: m["mood"] != "participe"), tenses)),
+        ),
+    )
+
+    def cut(u: Column) -> Column:
+        key = F.concat_ws("|", u["voice"], u["mood"], u["tense"])
+        # The first part of a key; its span is looked up once and cut out of the page.
+        span = F.slice(F.filter("parts", lambda p: p["key"] == key), 1, 1)
+        texts = F.transform(span, lambda p: F.substring(F.col("html"), p["start"] + 1, p["end"] - p["start"]))
+        return F.struct(u["voice"].alias("voice"), u["mood"].alias("mood"), u["tense"].alias("tense"), F.get(texts, 0).alias("block"))
+
+    return parsed.select("verb", "page_verb", F.explode(F.transform("units", cut)).alias("u")).select("verb", "page_verb", "u.*")
