@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from checks.registry import query
-from checks.star import star, with_star
+from checks.star import star, star_of_last_verb, with_star
 from inflecta.plans import lookups as q
 
 HAS = "list_has_any(string_split({c}, ';'), {p})"
@@ -22,20 +20,16 @@ OF_ONE = f"FROM conjugaisons c JOIN verbes v ON c.verbe_id = v.id WHERE v.infini
 PRESENT = "c.mode = 'indicatif' AND c.temps = 'present'"
 
 
-def one_verb(s: q.Star):
-    return s.verbes.agg(F.max("infinitif")).scalar()
-
-
 @query("q01_forms_of_verb", with_star(f"SELECT infinitif, voix, mode, temps, personne, conjugaison {OF_ONE}"))
 def _q01(spark, sf):
-    s = star(spark, sf)
-    return q.forms_of_verb(s, one_verb(s))
+    s, verb = star_of_last_verb(spark, sf)
+    return q.forms_of_verb(s, verb)
 
 
 @query("q02_tense_of_verb", with_star(f"SELECT personne, conjugaison {OF_ONE} AND c.voix = 'voix_passive' AND {PRESENT}"))
 def _q02(spark, sf):
-    s = star(spark, sf)
-    return q.tense_of_verb(s, one_verb(s), "voix_passive", "indicatif", "present")
+    s, verb = star_of_last_verb(spark, sf)
+    return q.tense_of_verb(s, verb, "voix_passive", "indicatif", "present")
 
 
 @query(
@@ -43,8 +37,8 @@ def _q02(spark, sf):
     with_star(f"SELECT voix, forme, participe FROM participes p JOIN verbes v ON p.verbe_id = v.id WHERE v.infinitif = {ONE}"),
 )
 def _q03(spark, sf):
-    s = star(spark, sf)
-    return q.participles_of_verb(s, one_verb(s))
+    s, verb = star_of_last_verb(spark, sf)
+    return q.participles_of_verb(s, verb)
 
 
 @query("q04_h_aspire_verbs", with_star("SELECT infinitif FROM verbes WHERE h_aspire"))
@@ -115,8 +109,8 @@ def _q10(spark, sf):
     ),
 )
 def _q11(spark, sf):
-    s = star(spark, sf)
-    return q.active_and_pronominal(s, one_verb(s))
+    s, verb = star_of_last_verb(spark, sf)
+    return q.active_and_pronominal(s, verb)
 
 
 @query("q12_verbs_ending_in", with_star("SELECT infinitif FROM verbes WHERE infinitif LIKE '%er' ORDER BY infinitif LIMIT 20"))
@@ -211,11 +205,10 @@ def _q20(spark, sf):
     with_star(f"SELECT temps, conjugaison {OF_ONE} AND voix = 'voix_passive' AND mode = 'subjonctif' AND {has(P1S)}"),
 )
 def _q21(spark, sf):
-    s = star(spark, sf)
-    return q.person_across_tenses(s, one_verb(s), "voix_passive", "subjonctif", "1s")
+    s, verb = star_of_last_verb(spark, sf)
+    return q.person_across_tenses(s, verb, "voix_passive", "subjonctif", "1s")
 
 
-PRONOUNS = "{'1sm': 'je', '1sf': 'je', '3sm': 'il', '3sf': 'elle', '3sn': 'on', '1pm': 'nous', '1pf': 'nous'}"
 # string_agg over the person order; a repeated pronoun always directly follows its twin there.
 TABLE_CTE = """labelled AS (SELECT c.verbe_id, c.voix, c.mode, c.temps, c.conjugaison,
   u.p, u.i, CASE u.p WHEN '1sm' THEN 'je' WHEN '1sf' THEN 'je' WHEN '3sm' THEN 'il' WHEN '3sf' THEN 'elle'
@@ -235,8 +228,8 @@ tables AS (SELECT verbe_id, voix, mode, temps, conjugaison, string_agg(pronoun,
     ),
 )
 def _q22(spark, sf):
-    s = star(spark, sf)
-    return q.conjugation_table(s, one_verb(s), "voix_passive", "indicatif", "present")
+    s, verb = star_of_last_verb(spark, sf)
+    return q.conjugation_table(s, verb, "voix_passive", "indicatif", "present")
 
 
 @query(
@@ -252,8 +245,8 @@ def _q23(spark, sf):
 
 @query("q24_tense_of_active_verb", with_star(f"SELECT personne, conjugaison {OF_ONE} AND voix = 'voix_active_avoir' AND {PRESENT}"))
 def _q24(spark, sf):
-    s = star(spark, sf)
-    return q.tense_of_verb(s, one_verb(s), q.AVOIR, "indicatif", "present")
+    s, verb = star_of_last_verb(spark, sf)
+    return q.tense_of_verb(s, verb, q.AVOIR, "indicatif", "present")
 
 
 @query(
@@ -266,8 +259,8 @@ def _q25(spark, sf):
 
 @query("q26_verb_metadata", with_star(f"SELECT id, infinitif, h_aspire, rectification_1990, rectification_1990_variante FROM verbes WHERE infinitif = {ONE}"))
 def _q26(spark, sf):
-    s = star(spark, sf)
-    return q.verb_metadata(s, one_verb(s))
+    s, verb = star_of_last_verb(spark, sf)
+    return q.verb_metadata(s, verb)
 
 
 @query(
@@ -275,15 +268,15 @@ def _q26(spark, sf):
     with_star(f"SELECT DISTINCT conjugaison {OF_ONE} AND voix = 'voix_passive' AND mode = 'indicatif' AND temps = 'present' AND {has("['3sm','3sf','3sn']")}"),
 )
 def _q27(spark, sf):
-    s = star(spark, sf)
-    forms = [q.form_of_verb(s, one_verb(s), "voix_passive", "indicatif", "present", p) for p in ("3sm", "3sf", "3sn")]
+    s, verb = star_of_last_verb(spark, sf)
+    forms = [q.form_of_verb(s, verb, "voix_passive", "indicatif", "present", p) for p in ("3sm", "3sf", "3sn")]
     return forms[0].unionByName(forms[1]).unionByName(forms[2]).distinct()
 
 
 @query("q28_tense_conjugations", with_star(f"SELECT personne, conjugaison {OF_ONE} AND voix = 'voix_passive' AND mode = 'indicatif' AND temps = 'imparfait'"))
 def _q28(spark, sf):
-    s = star(spark, sf)
-    return q.tense_of_verb(s, one_verb(s), "voix_passive", "indicatif", "imparfait")
+    s, verb = star_of_last_verb(spark, sf)
+    return q.tense_of_verb(s, verb, "voix_passive", "indicatif", "imparfait")
 
 
 @query(
@@ -293,8 +286,8 @@ def _q28(spark, sf):
     ),
 )
 def _q29(spark, sf):
-    s = star(spark, sf)
-    return q.participles_of_verb(s, one_verb(s), "voix_passive")
+    s, verb = star_of_last_verb(spark, sf)
+    return q.participles_of_verb(s, verb, "voix_passive")
 
 
 @query(
@@ -333,5 +326,5 @@ def _q32(spark, sf):
     ),
 )
 def _q33(spark, sf):
-    s = star(spark, sf)
-    return q.conjugation_table(s, one_verb(s))
+    s, verb = star_of_last_verb(spark, sf)
+    return q.conjugation_table(s, verb)

@@ -143,10 +143,10 @@ def homonym_parts(spark, sf):
 
 FOLD_SQL = "WITH RECURSIVE " + with_star("", MEMBERS_SQL).removeprefix("WITH ").rstrip() + """,
 fold AS (SELECT base, 0::BIGINT AS rn, []::STRUCT(key VARCHAR, voices VARCHAR[])[] AS clusters FROM members WHERE rn = 1
-  UNION ALL SELECT base, rn, CASE WHEN at IS NULL OR at = 0 THEN list_append(clusters, m) WHEN list_has_all(clusters[at].voices, m.voices) THEN clusters
-    ELSE list_concat(list_append(clusters[1:at - 1], m), clusters[at + 1:]) END
+  UNION ALL SELECT base, rn, CASE WHEN pos IS NULL OR pos = 0 THEN list_append(clusters, m) WHEN list_has_all(clusters[pos].voices, m.voices) THEN clusters
+    ELSE list_concat(list_append(clusters[1:pos - 1], m), clusters[pos + 1:]) END
   FROM (SELECT f.base, s.rn, f.clusters, struct_pack(key := s.key, voices := s.voices) AS m,
-    list_position([list_has_all(c.voices, s.voices) OR list_has_all(s.voices, c.voices) FOR c IN f.clusters], true) AS at
+    list_position([list_has_all(c.voices, s.voices) OR list_has_all(s.voices, c.voices) FOR c IN f.clusters], true) AS pos
     FROM fold f JOIN members s ON s.base = f.base AND s.rn = f.rn + 1)),
 final AS (SELECT f.base, f.clusters, m.n FROM fold f JOIN members m ON m.base = f.base AND m.rn = m.n AND f.rn = m.n)
 SELECT clusters[i].key AS verb, CASE WHEN n = 1 THEN clusters[i].key WHEN len(clusters) = 1 THEN base ELSE base || '_' || i END AS name

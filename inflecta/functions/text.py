@@ -11,8 +11,16 @@ from inflecta.dims import PERSON_LABELS, literal_map
 REFORM_FROM = "îû"
 REFORM_TO = "iu"
 
-# Whitespace as Unicode defines it, with the ASCII separators.
-_SPACE = r"(?U)[\s\x1c-\x1f]"
+# Whitespace as Unicode defines it, with the ASCII separators.
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_SPACE = f"[{WHITESPACE}]"
+
+
+def strip(text: Column) -> Column:
+    """Trim Unicode whitespace on both sides."""
+    return F.trim(text, F.lit(WHITESPACE))
 
 
 def squeeze(text: Column) -> Column:
@@ -20,11 +28,6 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _SPACE + "+", " "))
 
 
-def strip(text: Column) -> Column:
-    """Trim Unicode whitespace on both sides."""
-    return F.regexp_replace(text, rf"^{_SPACE}+|{_SPACE}+$", "")
-
-
 def plain_apostrophe(text: Column) -> Column:
     """Typographic apostrophe to the ASCII one."""
     return F.translate(text, "’", "'")
