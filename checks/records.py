@@ -169,7 +169,7 @@ def _a5(spark, sf):
 def _x24(spark, sf):
     verbs, rows = homonym_parts(spark, sf)
     distinct = h.members_of(verbs, rows).groupBy("base", "voices").agg(F.min("verb").alias("verb"))
-    return h._links(distinct).select("base", F.col("inner").alias("inner_key"), F.col("outer").alias("outer_key"))
+    return h.containment_links(distinct).select("base", F.col("inner").alias("inner_key"), F.col("outer").alias("outer_key"))
 
 
 # Audit: one present tense per verb, voice and mood, all pronouns.

@@ -72,7 +72,7 @@ def _clusters_by_fold(distinct: DataFrame) -> DataFrame:
     return folded.select("base", (F.col("at") + 1).cast("long").alias("number"), F.col("c.verb").alias("verb"))
 
 
-def _links(distinct: DataFrame) -> DataFrame:
+def containment_links(distinct: DataFrame) -> DataFrame:
     """(base, inner, outer): ``inner``'s voices are a proper part of ``outer``'s."""
     masks = F.sequence(F.lit(0), F.pow(F.lit(2), F.size("voices")).cast("int") - 2)
     parts = F.transform(
@@ -89,7 +89,7 @@ def _clusters_by_rounds(distinct: DataFrame) -> DataFrame:
     over. In each round a member is decided when every earlier member it contains is decided and
     no earlier undecided member claims the same slot; it takes the first slot on offer or opens one.
     """
-    links = durable(_links(distinct))
+    links = durable(containment_links(distinct))
     dead = links.where("outer < inner").select("base", F.col("inner").alias("verb")).distinct()
     undecided = durable(distinct.select("base", "verb").join(dead, ["base", "verb"], "left_anti"))
     alive = undecided
