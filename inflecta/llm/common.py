@@ -91,7 +91,7 @@ def labelled_sample(rows: DataFrame, label: str, per_class: int, seed: str = "sa
     """
     rank = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
     keyed = rows.select(F.col(label).alias("_l"), F.struct(rank.alias("h"), F.col("doc_id").alias("d")).alias("_k"))
-    classes = [r[0] for r in keyed.select("_l").distinct().orderBy("_l").limit(1000).collect() if r[0] is not None]
+    classes = [r[0] for r in keyed.select("_l").distinct().orderBy("_l").collect() if r[0] is not None]  # few: labels
     chosen = None
     for one in classes:
         top = keyed.where(F.col("_l") == F.lit(one)).orderBy("_k").limit(per_class).select(F.col("_k.d").alias("_d"))

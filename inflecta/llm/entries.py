@@ -7,25 +7,42 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inflecta.llm import bpe, counts
+from inflecta.llm import bpe, counts, jaccard, quality
 from inflecta.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """The production model: fitted on the labelled rows of the tables outside the held-out fold."""
+    return quality.train(quality.training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality"), "quality")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document."""
+    return quality.predictions(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded bytes of each document."""
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of each document under links of 5-word shingle sets with similarity 0.75 or more."""
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of each document before and after personal data is masked by edits."""
     return counts.counts_after_masking(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Query] = {
+    "op2_quality": op2_quality,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_token_counts": op9_token_counts,
 }
 ORACLES: dict[str, str] = {}
