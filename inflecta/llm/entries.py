@@ -7,13 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inflecta.llm import bpe, counts, jaccard, quality
+from inflecta.llm import bpe, counts, jaccard, langid, quality, toxicity
 from inflecta.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.predictions(docs, toxicity.train(quality.training_rows(docs, table(spark, sf_dir, "labels"), "toxic"), "toxic"))
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
     """The production model: fitted on the labelled rows of the tables outside the held-out fold."""
     return quality.train(quality.training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality"), "quality")
@@ -39,10 +45,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.counts_after_masking(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document."""
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op9_token_counts": op9_token_counts,
+    "op10_language_id": op10_language_id,
 }
 ORACLES: dict[str, str] = {}
