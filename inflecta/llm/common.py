@@ -84,19 +84,42 @@ def fold_of(doc_id: str | Column, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds
 
 
-def labelled_sample(rows: DataFrame, label: str, per_class: int, seed: str = "sample") -> DataFrame:
-    """At most ``per_class`` rows of each label, the ones of least hash: a bounded sample, the same in every run.
-
-    Only (hash, doc_id) are ranked, by ``min_by`` style top lists per task; the texts of the chosen rows join back.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, per_class: int, skip: int = 0, text: str = "text", folds: int = 5
+) -> DataFrame:
+    """(doc_id, text, label) of a bounded sample: ``per_class`` labelled documents of each class 0 and 1.
+
+    They are those of least hash outside the held-out fold (remainder 0), after the first ``skip``; the same in
+    every run. They are chosen from the labels alone, so no text is shuffled: at most ``2 * per_class`` ids are
+    broadcast. A document with several labels has the greatest.
     """
-    rank = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
-    keyed = rows.select(F.col(label).alias("_l"), F.struct(rank.alias("h"), F.col("doc_id").alias("d")).alias("_k"))
-    classes = [r[0] for r in keyed.select("_l").distinct().orderBy("_l").collect() if r[0] is not None]  # few: labels
+    ranked = training_labels(labels, label, folds).select(label, "doc_id", F.xxhash64("doc_id").alias("_h"))
+    chosen = None
+    for one in (0, 1):
+        top = ranked.where(F.col(label) == one).orderBy("_h", "doc_id").offset(skip).limit(per_class)
+        chosen = top if chosen is None else chosen.unionByName(top)
+    return docs.select("doc_id", text).join(F.broadcast(chosen.drop("_h")), "doc_id")
+
+
+def training_labels(labels: DataFrame, label: str, folds: int = 5) -> DataFrame:
+    """(doc_id, label) of all documents labelled 0 or 1 outside the held-out fold."""
+    known = labels.where(F.col(label).isin(0, 1) & (fold_of("doc_id", folds) != 0))
+    return known.groupBy("doc_id").agg(F.max(label).cast("int").alias(label))
+
+
+def class_sizes(labels: DataFrame, label: str) -> tuple[int, int]:
+    """Labelled documents of class 0 and 1 in the training folds."""
+    sizes = {r[0]: r[1] for r in training_labels(labels, label).groupBy(label).count().collect()}
+    return sizes.get(0, 0), sizes.get(1, 0)
+
+
+def sample_of_classes(rows: DataFrame, column: str, per_class: int) -> DataFrame:
+    """At most ``per_class`` rows of each value of ``column`` (few values), those of least hash of doc_id; ids are broadcast."""
+    keyed = rows.select(F.col(column).alias("_c"), F.xxhash64("doc_id").alias("_h"), F.col("doc_id").alias("_d"))
     chosen = None
-    for one in classes:
-        top = keyed.where(F.col("_l") == F.lit(one)).orderBy("_k").limit(per_class).select(F.col("_k.d").alias("_d"))
+    for (one,) in keyed.select("_c").distinct().orderBy("_c").collect():  # a row for each class
+        top = keyed.where(F.col("_c") == F.lit(one)).orderBy("_h", "_d").limit(per_class).select("_d")
         chosen = top if chosen is None else chosen.unionByName(top)
     if chosen is None:
         return rows.limit(0)
-    # At most per_class ids for each class.
     return rows.join(F.broadcast(chosen.distinct()), F.col("doc_id") == F.col("_d"), "left_semi")
