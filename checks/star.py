@@ -67,17 +67,9 @@ def verbes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str, only: DataFrame | None) -> DataFrame:
-    """Order lines; with ``only`` those of the verbs it names by ``id``, which are one or few."""
-    lines = table(spark, sf_dir, "lineitem")
-    if only is None:
-        return lines
-    return lines.join(F.broadcast(only.select(F.col("id").alias("l_partkey"))), "l_partkey", "left_semi")
-
-
-def atomic_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+def atomic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line: person and form before any merging."""
-    return _lines(spark, sf_dir, only).selectExpr(
+    return table(spark, sf_dir, "lineitem").selectExpr(
         "l_partkey AS verbe_id",
         f"{VOIX} AS voix",
         f"{MODE} AS mode",
@@ -87,12 +79,12 @@ def atomic_lines(spark: SparkSession, sf_dir: str, only: DataFrame | None = None
     )
 
 
-def conjugaisons(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
-    return merge_identical(atomic_lines(spark, sf_dir, only), KEYS)
+def conjugaisons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_identical(atomic_lines(spark, sf_dir), KEYS)
 
 
-def participes(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
-    lines = _lines(spark, sf_dir, only).selectExpr(
+def participes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_partkey AS verbe_id", f"{VOIX} AS voix", f"{FORME} AS forme", f"{PARTICIPE} AS participe"
     )
     return lines.groupBy("verbe_id", "voix", "forme").agg(F.min("participe").alias("participe"))
@@ -103,11 +95,6 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def star_of_last_verb(spark: SparkSession, sf_dir: str) -> tuple[Star, Column]:
-    """The star for looking up the last verb in string order, and that verb.
-
-    The facts are built from the order lines; doing so for one verb only saves building all others.
-    """
-    verbs = verbes(spark, sf_dir)
-    last = verbs.agg(F.max("infinitif")).scalar()
-    only = verbs.where(F.col("infinitif") == last)
-    return Star(verbs, conjugaisons(spark, sf_dir, only), participes(spark, sf_dir, only)), last
+    """The whole star, and the last verb in string order, to be looked up in it."""
+    whole = star(spark, sf_dir)
+    return whole, whole.verbes.agg(F.max("infinitif")).scalar()

@@ -265,7 +265,12 @@ class _Walker(HTMLParser):
 
 
 def _walk(html: str | None) -> dict | None:
-    return None if html is None else _Walker(html).nodes()
+    if html is None:
+        return None
+    try:
+        return _Walker(html).nodes()
+    except (AssertionError, ValueError, IndexError):  # what the standard parser raises on malformed declarations
+        return None
 
 
 @F.arrow_udf(_spark_type(NODES))

@@ -58,8 +58,12 @@ def page_availability(verbs: DataFrame, pages: DataFrame) -> DataFrame:
     names = pages.select("verb").distinct()
     own = names.select("verb", F.col("verb").alias("own"))
     other = names.select(F.col("verb").alias("rectification_1990_variante"), F.col("verb").alias("other"))
-    found = verbs.join(own, "verb", "left").join(other, "rectification_1990_variante", "left")
-    return found.select(*verbs.columns, F.coalesce("own", "other").alias("page_verb"))
+    # Only verbs with a variant take part in the second join: NULL is no key.
+    varied = verbs.where(F.col("rectification_1990_variante").isNotNull()).select("verb", "rectification_1990_variante").distinct()
+    variants = varied.join(other, "rectification_1990_variante").select("verb", "rectification_1990_variante", "other")
+    match = F.col("v.verb").eqNullSafe(F.col("o.verb")) & F.col("v.rectification_1990_variante").eqNullSafe(F.col("o.rectification_1990_variante"))
+    found = verbs.join(own, "verb", "left").alias("v").join(variants.alias("o"), match, "left")
+    return found.select(*[F.col(f"v.{c}") for c in verbs.columns], F.coalesce("own", "other").alias("page_verb"))
 
 
 def is_generated_twin() -> Column:

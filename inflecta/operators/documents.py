@@ -133,7 +133,8 @@ def nested_entries(verbs: DataFrame, rows: DataFrame, indent: int = 0) -> DataFr
 
 def store_records(entries: DataFrame) -> DataFrame:
     """(verb, data): the stored form of an entry, an object with the verb as its only key."""
-    return entries.select("verb", F.concat(F.lit("{"), _quoted(F.col("verb")), F.lit(":"), "entry", F.lit("}")).alias("data"))
+    record = F.concat(F.lit("{"), _quoted(F.col("verb")), F.lit(":"), "entry", F.lit("}"))
+    return entries.select("verb", plain_apostrophe(record).alias("data"))
 
 
 def entries_of_store(store: DataFrame) -> DataFrame:

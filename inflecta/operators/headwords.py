@@ -9,6 +9,7 @@ from inflecta.dims import ENTRY_ID_PREFIX
 from inflecta.functions.html import page_nodes
 from inflecta.functions.text import canonical_headword, last_segment
 from inflecta.operators.numbering import number_rows
+from inflecta.session import durable
 
 # Where a listing page has its items.
 LISTING = ["div#colGaucheResultat", "ul.listColGauche"]
@@ -41,6 +42,8 @@ def headword_list(hits: DataFrame, exclude: DataFrame, remap: DataFrame, id_pref
     usable = hits.join(exclude.select(F.col("verb").alias("canonical")), "canonical", "left_anti").where(
         F.col("verb_id").startswith(id_prefix)
     )
+    # Hits come from the tokeniser, the dearest step: it runs once for the three uses below.
+    usable = durable(usable.select("letter", "canonical", "verb_id"))
     groups = usable.groupBy("letter", "canonical").agg(F.count("*").alias("hits"), F.min("verb_id").alias("only_id"))
     forced = remap.select(F.col("verb").alias("canonical"), F.col("verb_id").alias("forced_id"))
     groups = groups.join(forced, "canonical", "left")

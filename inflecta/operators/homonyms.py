@@ -4,28 +4,31 @@ Members of a base name are taken in key order. A member contained in a cluster i
 that contains a cluster replaces it, and the first such cluster counts; any other member opens a
 cluster. A single cluster gets the base name, several are renumbered from 1.
 
-Two exact ways give the clusters. Most groups are small and folded as an array. A group with more
-distinct members than ``FOLD_LIMIT`` is never collected: ``_clusters_by_rounds`` decides its members
-in parallel, round by round. Three facts make both agree with the sequence:
+One exact way gives the clusters of groups of any size:
 
 * A member contained in an earlier one changes nothing, so equal members are reduced to the first
   before anything is grouped. (No cluster is ever contained in a later cluster.)
 * A member has at most five voices, so at most 31 smaller members can be contained in it; links
   between members are found by joining on these restrictions and are linear in number.
-* Whether a member takes over a cluster depends only on the members it contains and on the other
-  members that contain those; it is decided once all earlier claims on them are.
+* Only linked members bear on each other. Connected parts of the links are labelled first, in a
+  logarithmic number of joins; then each part is decided in key order, parts spread over tasks. The
+  number of jobs does not follow the length of a chain of claims. A part is held by one task as its
+  links, at most 31 for each member. Members without a link open a cluster of their own.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inflecta.functions.text import base_name
+from inflecta.operators.components import connected_parts
 from inflecta.operators.numbering import number_rows
 from inflecta.session import durable
 
-FOLD_LIMIT = 500
 _VOICES_TYPE = "array<struct<voice:string,digest:string>>"
 
 
@@ -50,28 +53,6 @@ def members_of(verbs: DataFrame, rows: DataFrame) -> DataFrame:
     return suffixed.join(voices, "verb", "left").select("base", "verb", F.coalesce("voices", none).alias("voices"))
 
 
-def _contained(a: Column, b: Column) -> Column:
-    return F.size(F.array_except(a, b)) == 0
-
-
-def _clusters_by_fold(distinct: DataFrame) -> DataFrame:
-    """(base, number, verb) for groups of at most ``FOLD_LIMIT`` members."""
-    groups = distinct.groupBy("base").agg(F.array_sort(F.collect_list(F.struct("verb", "voices"))).alias("members"))
-
-    def step(clusters: Column, member: Column) -> Column:
-        related = F.transform(
-            clusters, lambda c: _contained(member["voices"], c["voices"]) | _contained(c["voices"], member["voices"])
-        )
-        at = F.array_position(related, True)
-        absorbed = _contained(member["voices"], F.get(clusters, (at - 1).cast("int"))["voices"])
-        replaced = F.transform(clusters, lambda c, i: F.when(i == at - 1, member).otherwise(c))
-        return F.when(at == 0, F.concat(clusters, F.array(member))).when(absorbed, clusters).otherwise(replaced)
-
-    none = F.array().cast(f"array<struct<verb:string,voices:{_VOICES_TYPE}>>")
-    folded = groups.select("base", F.posexplode(F.aggregate("members", none, step)).alias("at", "c"))
-    return folded.select("base", (F.col("at") + 1).cast("long").alias("number"), F.col("c.verb").alias("verb"))
-
-
 def containment_links(distinct: DataFrame) -> DataFrame:
     """(base, inner, outer): ``inner``'s voices are a proper part of ``outer``'s."""
     masks = F.sequence(F.lit(0), F.pow(F.lit(2), F.size("voices")).cast("int") - 2)
@@ -82,69 +63,49 @@ def containment_links(distinct: DataFrame) -> DataFrame:
     return smaller.join(distinct.withColumnRenamed("verb", "inner"), ["base", "voices"]).select("base", "inner", "outer")
 
 
-def _clusters_by_rounds(distinct: DataFrame) -> DataFrame:
-    """(base, number, verb) for groups of any size, without collecting one.
-
-    A decided member holds a slot, named after the member that opened it, until another takes it
-    over. In each round a member is decided when every earlier member it contains is decided and
-    no earlier undecided member claims the same slot; it takes the first slot on offer or opens one.
-    """
+def _decide(part: pa.Table) -> pa.Table:
+    """(base, slot, verb): who holds each slot of a part in the end; a slot is named after the member that opened it."""
+    rows = part.to_pydict()
+    linked, within = defaultdict(list), set()
+    for inner, outer in zip(rows["inner"], rows["outer"], strict=True):
+        linked[inner].append(outer)
+        linked[outer].append(inner)
+        within.add((inner, outer))
+    held: dict[str, str] = {}  # holder: its slot
+    for verb in sorted(linked):
+        claimed = [(held[other], other) for other in linked[verb] if other in held]
+        if not claimed:
+            held[verb] = verb
+            continue
+        slot, holder = min(claimed)
+        if (verb, holder) not in within:  # contains the holder and replaces it
+            del held[holder]
+            held[verb] = slot
+    base = rows["base"][0]
+    return pa.table({"base": pa.array([base] * len(held)), "slot": pa.array(list(held.values())), "verb": pa.array(list(held))})
+
+
+def _clusters(distinct: DataFrame) -> DataFrame:
+    """(base, number, verb): the clusters of each base name, in the order in which they were opened."""
     links = durable(containment_links(distinct))
-    dead = links.where("outer < inner").select("base", F.col("inner").alias("verb")).distinct()
-    undecided = durable(distinct.select("base", "verb").join(dead, ["base", "verb"], "left_anti"))
-    alive = undecided
-    # The slot an inner member holds; NULL while it is undecided.
-    open_links = links.where("inner < outer")
-    for side in ("inner", "outer"):
-        open_links = open_links.join(alive.withColumnRenamed("verb", side), ["base", side], "left_semi")
-    open_links = durable(open_links.select("base", "inner", "outer", F.lit(None).cast("string").alias("slot")))
-    held = taken = None
-    while not undecided.isEmpty():
-        first = open_links.groupBy("base", "inner").agg(F.min("outer").alias("claimant"))
-        claims = (
-            open_links.join(first, ["base", "inner"])
-            .groupBy("base", F.col("outer").alias("verb"))
-            .agg(
-                F.bool_or(F.col("slot").isNull() | (F.col("claimant") != F.col("outer"))).alias("blocked"),
-                F.min(F.struct("slot", "inner")).alias("offer"),
-            )
-        )
-        decided = durable(
-            undecided.join(claims, ["base", "verb"], "left")
-            .where(~F.coalesce("blocked", F.lit(False)))
-            .select("base", "verb", F.coalesce("offer.slot", "verb").alias("slot"), F.col("offer.inner").alias("inner"))
-        )
-        held = decided.select("base", "verb", "slot") if held is None else held.unionByName(decided.select("base", "verb", "slot"))
-        now_taken = decided.where("inner IS NOT NULL").select("base", "inner")
-        taken = now_taken if taken is None else taken.unionByName(now_taken)
-        undecided = durable(undecided.join(decided, ["base", "verb"], "left_anti"))
-        new_slots = decided.select("base", F.col("verb").alias("inner"), F.col("slot").alias("new_slot"))
-        open_links = durable(
-            open_links.join(decided.select("base", F.col("verb").alias("outer")), ["base", "outer"], "left_anti")
-            .join(now_taken, ["base", "inner"], "left_anti")
-            .join(new_slots, ["base", "inner"], "left")
-            .select("base", "inner", "outer", F.coalesce("slot", "new_slot").alias("slot"))
-        )
-    if held is None:
-        return distinct.select("base", F.lit(None).cast("long").alias("number"), "verb").where("false")
-    final = held.join(taken.withColumnRenamed("inner", "verb"), ["base", "verb"], "left_anti")
-    return number_rows(final, ["slot"], "number", within=["base"]).select("base", "number", "verb")
-
-
-def homonym_names(verbs: DataFrame, members: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    parts = connected_parts(links.select(F.col("inner").alias("a"), F.col("outer").alias("b")))
+    own_part = links.join(parts.select(F.col("node").alias("inner"), "part"), "inner")
+    held = own_part.groupBy("base", "part").applyInArrow(_decide, "base string, slot string, verb string")
+    lone = distinct.select("base", "verb").join(parts.select(F.col("node").alias("verb")), "verb", "left_anti")
+    slots = held.unionByName(lone.select("base", F.col("verb").alias("slot"), "verb"))
+    return number_rows(slots, ["slot"], "number", within=["base"]).select("base", "number", "verb")
+
+
+def homonym_names(verbs: DataFrame, members: DataFrame) -> DataFrame:
     """(verb, name): the entries that are kept and the names they get.
 
     A merged name replaces an entry that already had it.
     """
     distinct = durable(members.groupBy("base", "voices").agg(F.min("verb").alias("verb"), F.count("*").alias("copies")))
-    sizes = distinct.groupBy("base").agg(F.count("*").alias("distinct_members"), F.sum("copies").alias("members"))
+    sizes = distinct.groupBy("base").agg(F.sum("copies").alias("members"))
     sized = distinct.join(sizes, "base")
     lone = sized.where("members = 1").select("base", "verb", F.col("verb").alias("name"))
-    several = sized.where("members > 1").select("base", "verb", "voices", "distinct_members")
-    clusters = _clusters_by_fold(several.where(F.col("distinct_members") <= fold_limit))
-    large = several.where(F.col("distinct_members") > fold_limit).select("base", "verb", "voices")
-    if not large.isEmpty():
-        clusters = clusters.unionByName(_clusters_by_rounds(durable(large)))
+    clusters = _clusters(durable(sized.where("members > 1").select("base", "verb", "voices")))
     counts = clusters.groupBy("base").agg(F.count("*").alias("clusters"))
     numbered = F.when(F.col("clusters") == 1, F.col("base")).otherwise(F.concat_ws("_", "base", F.col("number").cast("string")))
     merged = clusters.join(counts, "base").select("base", "verb", numbered.alias("name"))
@@ -158,9 +119,9 @@ def homonym_names(verbs: DataFrame, members: DataFrame, fold_limit: int = FOLD_L
     return named.groupBy("name").agg(F.max_by("verb", rank).alias("verb")).select("verb", "name")
 
 
-def merge_homonyms(verbs: DataFrame, rows: DataFrame, fold_limit: int = FOLD_LIMIT) -> tuple[DataFrame, DataFrame]:
+def merge_homonyms(verbs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Verbs and long rows with homonyms merged; the kept member's flags count."""
-    names = durable(homonym_names(verbs, members_of(verbs, rows), fold_limit))
+    names = durable(homonym_names(verbs, members_of(verbs, rows)))
 
     def renamed(df: DataFrame) -> DataFrame:
         return df.join(names, "verb").withColumn("verb", F.col("name")).select(df.columns)

@@ -50,8 +50,8 @@ def _verb(star: Star, infinitif: str | Column) -> DataFrame:
 def _rows_of_verb(star: Star, facts: DataFrame, infinitif: str | Column) -> DataFrame:
     """Fact rows of one verb.
 
-    An infinitive is unique, so the verb side is one row: broadcasting it is safe at any scale, and
-    the semi join is pushed below an aggregation that builds the facts.
+    An infinitive is unique, so the verb side is one row: broadcasting it is safe at any scale. On a
+    written star the join stands on the scan, which is sorted by verb.
     """
     one = F.broadcast(_verb(star, infinitif).select(F.col("id").alias("verbe_id")))
     return facts.join(one, "verbe_id", "left_semi")
@@ -64,9 +64,12 @@ def _where(facts: DataFrame, voice=None, mood=None, tense=None) -> DataFrame:
     return facts
 
 
-def _verbs_where(star: Star, condition: Column, mood=None, tense=None) -> DataFrame:
-    """Verbs that satisfy an aggregate ``condition`` over their fact rows: one pass, one shuffle."""
-    facts = _where(star.conjugaisons, mood=mood, tense=tense)
+def _verbs_where(star: Star, condition: Column, rows: Column, mood=None, tense=None) -> DataFrame:
+    """Verbs that satisfy an aggregate ``condition`` over their fact rows: one pass, one shuffle.
+
+    ``rows`` tells which fact rows the condition looks at; only these are read and shuffled.
+    """
+    facts = _where(star.conjugaisons, mood=mood, tense=tense).where(rows)
     ids = facts.groupBy(F.col("verbe_id").alias("id")).agg(condition.alias("hit")).where("hit").select("id")
     return star.verbes.join(ids, "id", "left_semi")
 
@@ -179,7 +182,7 @@ def reform_pair_count(star: Star) -> DataFrame:
 
 def verbs_with_voice(star: Star, voice: str, limit: int | None = 20) -> DataFrame:
     """Q8, Q10: verbs that have forms in a voice."""
-    verbs = _verbs_where(star, F.bool_or(F.col("voix") == voice))
+    verbs = _verbs_where(star, F.lit(True), F.col("voix") == voice)
     return _top(verbs.select("infinitif"), limit, "infinitif")
 
 
@@ -194,7 +197,7 @@ def verbs_with_auxiliary(star: Star, auxiliary: str) -> DataFrame:
 def verbs_with_both_auxiliaries(star: Star, limit: int | None = 20) -> DataFrame:
     """Q9: verbs that take either auxiliary."""
     both = F.bool_or(F.col("voix") == AVOIR) & F.bool_or(F.col("voix") == ETRE)
-    return _top(_verbs_where(star, both).select("infinitif"), limit, "infinitif")
+    return _top(_verbs_where(star, both, F.col("voix").isin(AVOIR, ETRE)).select("infinitif"), limit, "infinitif")
 
 
 def verbs_ending_in(star: Star, suffix: str = "er", limit: int | None = 20) -> DataFrame:
@@ -206,16 +209,16 @@ def verbs_with_form_ending(
     star: Star, person: str = "1s", mood: str = "indicatif", tense: str = "present", suffix: str = "ais", limit: int | None = 20
 ) -> DataFrame:
     """Q13: verbs whose form of a person ends in a suffix."""
-    hit = F.bool_or(covers(F.col("personne"), person) & F.col("conjugaison").endswith(suffix))
-    return _top(_verbs_where(star, hit, mood, tense).select("infinitif"), limit, "infinitif")
+    ends = covers(F.col("personne"), person) & F.col("conjugaison").endswith(suffix)
+    return _top(_verbs_where(star, F.lit(True), ends, mood, tense).select("infinitif"), limit, "infinitif")
 
 
 def impersonal_verbs(
     star: Star, mood: str = "indicatif", tense: str = "present", limit: int | None = 20
 ) -> DataFrame:
     """Q20: verbs with a third person singular and no first."""
-    hit = F.bool_or(covers(F.col("personne"), "3sm")) & ~F.bool_or(covers(F.col("personne"), "1s"))
-    return _top(_verbs_where(star, hit, mood, tense).select("infinitif"), limit, "infinitif")
+    third, first = covers(F.col("personne"), "3sm"), covers(F.col("personne"), "1s")
+    return _top(_verbs_where(star, F.bool_or(third) & ~F.bool_or(first), third | first, mood, tense).select("infinitif"), limit, "infinitif")
 
 
 def _person_forms(star: Star, mood: str, tense: str, person_a: str, person_b: str) -> DataFrame:
@@ -227,7 +230,8 @@ def _person_forms(star: Star, mood: str, tense: str, person_a: str, person_b: st
     def forms(person: str) -> Column:
         return F.collect_set(F.when(covers(F.col("personne"), person), F.col("conjugaison")))
 
-    facts = _where(star.conjugaisons, mood=mood, tense=tense)
+    named = covers(F.col("personne"), person_a) | covers(F.col("personne"), person_b)
+    facts = _where(star.conjugaisons, mood=mood, tense=tense).where(named)
     return facts.groupBy("verbe_id", "voix").agg(forms(person_a).alias("a"), forms(person_b).alias("b"))
 
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,6 +17,7 @@ def get_session(master: str | None = None, app: str = "inflecta", **conf: str) -
         # Pages are large strings: bound Arrow batches by rows as well as by bytes.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
         "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         **conf,
@@ -29,16 +27,26 @@ def get_session(master: str | None = None, app: str = "inflecta", **conf: str) -
     return builder.getOrCreate()
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``.
+
+    Only a local session, whose executors are the driver, may leave it unset: then a folder beside the warehouse.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-checkpoints"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back from there.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where none is named
-    (tests, local runs) is a temporary one made.
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` (set by ``get_session``) Spark removes it when the
+    DataFrame is no longer referenced.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            folder = tempfile.mkdtemp(prefix="inflecta-checkpoint-", dir=os.environ.get("TMPDIR", "/tmp"))
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -23,13 +23,19 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pages_of_headwords(pages: DataFrame, headwords: DataFrame) -> DataFrame:
-    """(verb, verb_id, html) of the headwords that have a page."""
-    return headwords.select("verb", "verb_id").join(pages.select("verb", "html"), "verb")
+    """(verb, verb_id, html) of all headwords; html is NULL where there is no page, which parsing reports."""
+    return headwords.select("verb", "verb_id").join(pages.select("verb", "html"), "verb", "left")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, value); numbers rise in file order."""
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value")
+    """(line_no, value); ``line_no`` rises by file name and place in the file, however Spark orders its tasks.
+
+    It is a struct of the file's path, the offset of the split that was read and the row in it.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row")
+    )
+    return spark.read.text(path).select(place.alias("line_no"), "value")
 
 
 def parse_headwords(lines: DataFrame) -> DataFrame:
@@ -85,10 +91,19 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).orderBy("verb")
 
 
+def parse_document(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(verb, entry) of document lines as ``document_lines`` makes them: one member a line.
+
+    The brace and comma around a member are cut off, so each line is an object of its own.
+    """
+    member = F.regexp_replace(F.regexp_replace(strip(F.col(column)), r"^\{", ""), r"[,}]$", "")
+    objects = lines.where(member != "").select(F.concat(F.lit("{"), member, F.lit("}")).alias("object"))
+    return objects.select(F.explode(F.from_json("object", "map<string,string>")).alias("verb", "entry"))
+
+
 def read_document(spark: SparkSession, path: str) -> DataFrame:
-    """(verb, entry) of one whole JSON document: for importing; one document is one task."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("verb", "entry"))
+    """(verb, entry) of a document written by ``write_document``, read by lines."""
+    return parse_document(spark.read.text(path))
 
 
 def parse_log(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -39,8 +39,8 @@ def headword_lines(headwords: DataFrame) -> DataFrame:
 
 
 def write_headwords(headwords: DataFrame, path: str) -> None:
-    """Write the list by letter and verb."""
-    headword_lines(headwords.orderBy("letter", "rank_verb", "verb")).write.mode("overwrite").text(path)
+    """Write the list by letter and name, homonyms of a name by their entry id."""
+    headword_lines(headwords.orderBy("letter", "rank_verb", "verb_id")).write.mode("overwrite").text(path)
 
 
 def _or_null(text: Column) -> Column:
@@ -74,4 +74,6 @@ def flagged_report(log: DataFrame) -> DataFrame:
 
 
 def write_flagged_report(log: DataFrame, path: str) -> None:
-    flagged_report(log).write.mode("overwrite").csv(path, header=True)
+    flagged_report(log).write.mode("overwrite").csv(
+        path, header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )

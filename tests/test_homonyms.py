@@ -1,7 +1,5 @@
 import random
 
-import pytest
-
 from inflecta.operators import homonyms as h
 
 
@@ -40,10 +38,10 @@ def members(spark, groups):
     return spark.createDataFrame(data, "base string, verb string, voices array<struct<voice:string,digest:string>>")
 
 
-def names_of(spark, groups, plain=(), fold_limit=h.FOLD_LIMIT):
+def names_of(spark, groups, plain=()):
     keys = [key for entries in groups.values() for key, _ in entries] + list(plain)
     verbs = spark.createDataFrame([(k,) for k in keys], "verb string")
-    return {r.name: r.verb for r in h.homonym_names(verbs, members(spark, groups), fold_limit).collect()}
+    return {r.name: r.verb for r in h.homonym_names(verbs, members(spark, groups)).collect()}
 
 
 GROUPS = {
@@ -57,15 +55,13 @@ GROUPS = {
 }
 
 
-@pytest.mark.parametrize("fold_limit", [h.FOLD_LIMIT, 1])
-def test_named_cases(spark, fold_limit):
-    names = names_of(spark, GROUPS, ["equal", "other"], fold_limit)
+def test_named_cases(spark):
+    names = names_of(spark, GROUPS, ["equal", "other"])
     assert names == {**expected_names(GROUPS), "other": "other"}
     assert names["x_1"] == "x_3" and names["x_2"] == "x_2" and names["equal"] == "equal_1" and names["nested_1"] == "nested_1_1"
 
 
-@pytest.mark.parametrize("fold_limit", [h.FOLD_LIMIT, 1])
-def test_random_groups(spark, fold_limit):
+def test_random_groups(spark):
     draw = random.Random(7)
     groups = {}
     for g in range(12):
@@ -74,7 +70,7 @@ def test_random_groups(spark, fold_limit):
             (f"{base}_{i}", {v: str(draw.randrange(2)) for v in "ABCDE"[: 2 + g % 4] if draw.random() < 0.55})
             for i in range(1, draw.randrange(3, 40))
         ]
-    assert names_of(spark, groups, fold_limit=fold_limit) == expected_names(groups)
+    assert names_of(spark, groups) == expected_names(groups)
 
 
 def test_one_large_group_whose_members_share_a_part(spark):
@@ -104,3 +100,18 @@ def test_merge_keeps_flags_of_the_kept_member(spark, rows):
     ]
     again_verbs, again_rows = h.merge_homonyms(new_verbs, new_rows)
     assert rows(again_verbs) == rows(new_verbs) and rows(again_rows) == rows(new_rows)
+
+
+def test_jobs_do_not_follow_the_chain_of_claims(spark):
+    tracker = spark.sparkContext._jsc.sc()
+
+    def jobs_for(length):
+        # Each member shares a voice with the next: a chain of claims over the whole group.
+        entries = []
+        for i in range(length):
+            entries += [(f"c_{2 * i:04d}", {"A": str(i)}), (f"c_{2 * i + 1:04d}", {"A": str(i), "B": str(i)} if i % 2 else {"A": str(i), "C": "1"})]
+        first = tracker.dagScheduler().numTotalJobs()
+        assert names_of(spark, {"c": entries}) == expected_names({"c": entries})
+        return tracker.dagScheduler().numTotalJobs() - first
+
+    assert jobs_for(256) <= jobs_for(16) + 12
