@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,7 +11,7 @@ from inflecta.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = get_session("local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+    session = get_session("local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="inflecta-tests-")})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
