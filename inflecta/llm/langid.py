@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inflecta.llm.common import fold_of, labelled_sample, slices
+from inflecta.llm.common import fold_of, sample_of_classes, slices
 
 FEATURES = 1 << 15
 ORDERS = 3
@@ -147,7 +147,7 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", per_language:
     total, found = document_frequencies(rows, text)
     idf = np.log((1 + total) / (1 + found)) + 1
     none = Model([], idf, np.zeros((0, FEATURES)), np.zeros(0))
-    sample = _vectors(labelled_sample(rows, lang, per_language), none, text, lang).toPandas()
+    sample = _vectors(sample_of_classes(rows, lang, per_language), none, text, lang).toPandas()
     languages = sorted(set(sample["lang"]))
     if not languages:
         return none

@@ -6,10 +6,10 @@ occur in any language, so what is learned does not hang on a vocabulary. Since l
 n-gram once, an n-gram has one indicator for each share of the text that it reaches (``SHARES``). Words themselves
 are a further kind of unigram. Indicators are hashed to ``FEATURES`` columns.
 
-Class counts of all indicators come from every labelled training row, one partial count for each task. Indicators
-are scaled by the log ratio of class frequencies, then a linear hinge-loss model is fitted by dual coordinate
-descent on a sample of at most ``PER_CLASS`` rows of each class (a stated bound; the same rows in every run), whose
-held-back fifth calibrates margins to probabilities under the true class shares.
+The model is fitted on a sample of at most ``PER_CLASS`` labelled rows of each class (a stated bound; the same rows
+in every run): indicators are scaled by the log ratio of class frequencies, a linear hinge-loss model is fitted by
+dual coordinate descent, and a held-back fifth calibrates margins to probabilities under the true class shares.
+Every text is scored whole.
 
 Defined results: NULL and empty texts have the single indicator "empty" and get the score that the model gives it;
 without labelled rows of both classes every score is the share of label 1, or 0.5 without any; repeated rows are
@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inflecta.llm.common import fold_of, labelled_sample, slices
+from inflecta.llm.common import class_sizes, fold_of, labelled_sample, slices
 
 FEATURES = 1 << 16
 SHARES = (0.0, 0.02, 0.1, 0.3, 0.6)
-PER_CLASS = 3000
+PER_CLASS = 4000
 #: Words whose form a task remembers before it starts anew.
 REMEMBERED = 400_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -104,31 +104,6 @@ class Indicators:
         return np.unique((found >> np.uint64(64 - 16)).astype(np.int32) % FEATURES)
 
 
-def class_counts(rows: DataFrame, label: str, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Rows of class 0 and 1, and for each indicator the rows of each class that have it; over all rows."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, totals, indicators = np.zeros((2, FEATURES), np.int64), np.zeros(2, np.int64), Indicators()
-        for batch in slices(batches, text):
-            part = batch.to_pydict()
-            for one, y in zip(part[text], part[label], strict=True):
-                counts[y, indicators.of(one)] += 1
-                totals[y] += 1
-        there = np.flatnonzero(counts.any(0))
-        values = [np.append(there, -1), np.append(counts[0, there], totals[0]), np.append(counts[1, there], totals[1])]
-        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], names=["feature", "n0", "n1"])
-
-    parts = rows.select(text, F.col(label).cast("int").alias(label)).mapInArrow(run, "feature long, n0 long, n1 long")
-    sums = parts.groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()  # FEATURES rows at most
-    totals, counts = np.zeros(2), np.zeros((2, FEATURES))
-    for feature, n0, n1 in sums.itertuples(index=False):
-        if feature < 0:
-            totals[:] = n0, n1
-        else:
-            counts[:, feature] = n0, n1
-    return totals, counts
-
-
 def log_ratio(counts: np.ndarray, smooth: float = 1.0) -> np.ndarray:
     p, q = counts[1] + smooth, counts[0] + smooth
     return np.log(p / p.sum()) - np.log(q / q.sum())
@@ -184,16 +159,20 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.a * margin + self.b, -30, 30))))
 
 
-def train(rows: DataFrame, label: str, text: str = "text", per_class: int = PER_CLASS, cost: float = 0.1) -> Model:
-    """A model from labelled rows (doc_id, text, label 0 or 1). Rows whose label is neither are left out."""
-    rows = rows.where(F.col(label).isin(0, 1)).select("doc_id", text, label)
-    totals, counts = class_counts(rows, label, text)
+def train(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", per_class: int = PER_CLASS, cost: float = 0.1) -> Model:
+    """A model of ``label`` (0 or 1) in ``labels`` (doc_id, label), outside the held-out fold; other values teach nothing."""
+    totals = np.array(class_sizes(labels, label), float)
     if not totals.all():
         return Model(None, 0, 0, float(totals[1] / totals.sum()) if totals.sum() else 0.5)
-    sample = featured(labelled_sample(rows, label, per_class), text).select("doc_id", label, "features").toPandas()
+    sample = featured(labelled_sample(docs, labels, label, per_class, text=text), text).select("doc_id", label, "features").toPandas()
     sample = sample.assign(key=[zlib.crc32(str(i).encode()) for i in sample["doc_id"]]).sort_values(["key", "doc_id"])
-    labels, features = sample[label].to_numpy(int), [np.asarray(f, np.int64) for f in sample["features"]]
-    return fit(features, labels, totals, counts, cost)
+    y, features = sample[label].to_numpy(int), [np.asarray(f, np.int64) for f in sample["features"]]
+    if len(set(y)) < 2:  # labels of documents that are not there
+        return Model(None, 0, 0, float(totals[1] / totals.sum()))
+    counts = np.zeros((2, FEATURES))
+    for own, one in zip(features, y, strict=True):
+        counts[one, own] += 1
+    return fit(features, y, totals, counts, cost)
 
 
 def fit(features: list[np.ndarray], labels: np.ndarray, totals: np.ndarray, counts: np.ndarray, cost: float = 0.1) -> Model:
@@ -243,12 +222,6 @@ def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "scor
     return docs.mapInArrow(run, f"{schema}, `{score}` double")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int = 5) -> DataFrame:
-    """(doc_id, text, label) of labelled documents outside the held-out fold (remainder 0)."""
-    known = labels.where(F.col(label).isNotNull() & (fold_of("doc_id", folds) != 0)).select("doc_id", label).distinct()
-    return docs.select("doc_id", "text").join(known, "doc_id")
-
-
 def predictions(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row."""
     return scored(docs.select("doc_id", "text"), model).select(
