@@ -51,7 +51,7 @@ def long_rows(extracted: DataFrame) -> DataFrame:
     """Long rows of extracted pages. Save ``extracted`` first: it is read once per part."""
     kept = extracted.where("reject IS NULL")
     parts = [
-        x.merged_forms(x.person_forms(kept)),
+        x.page_forms(kept),
         rows_of_participles(x.participle_forms(kept)),
         x.tenses_of(kept),
         x.moods_of(kept),
