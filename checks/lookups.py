@@ -273,10 +273,10 @@ def _q27(spark, sf):
     return forms[0].unionByName(forms[1]).unionByName(forms[2]).distinct()
 
 
-@query("q28_tense_conjugations", with_star(f"SELECT personne, conjugaison {OF_ONE} AND voix = 'voix_passive' AND mode = 'indicatif' AND temps = 'imparfait'"))
+@query("q28_tense_conjugations", with_star(f"SELECT personne, conjugaison {OF_ONE} AND voix = 'voix_active_avoir' AND mode = 'indicatif' AND temps = 'imparfait'"))
 def _q28(spark, sf):
     s, verb = star_of_last_verb(spark, sf)
-    return q.tense_of_verb(s, verb, "voix_passive", "indicatif", "imparfait")
+    return q.tense_of_verb(s, verb, "voix_active_avoir", "indicatif", "imparfait")
 
 
 @query(
@@ -304,12 +304,17 @@ def _q30(spark, sf):
 @query(
     "q31_unique_reform_pairs",
     with_star(
-        "SELECT infinitif, rectification_1990_variante FROM verbes WHERE rectification_1990 AND rectification_1990_variante IS NOT NULL "
-        "AND infinitif < rectification_1990_variante"
+        "SELECT least(infinitif, rectification_1990_variante) AS infinitif, greatest(infinitif, rectification_1990_variante) AS rectification_1990_variante "
+        "FROM verbes WHERE rectification_1990 AND rectification_1990_variante IS NOT NULL"
     ),
 )
 def _q31(spark, sf):
-    return q.reform_variants(star(spark, sf), unique=True)
+    # Each spelling is an entry that names the other, as twins do; a pair is listed once.
+    whole = star(spark, sf)
+    twins = whole.verbes.where("rectification_1990_variante IS NOT NULL").selectExpr(
+        "id", "rectification_1990_variante AS infinitif", "h_aspire", "rectification_1990", "infinitif AS rectification_1990_variante"
+    )
+    return q.reform_variants(q.Star(whole.verbes.unionByName(twins), whole.conjugaisons, whole.participes), unique=True)
 
 
 @query("q32_verbs_by_auxiliary", with_voice_sql("voix_active_etre", ""))

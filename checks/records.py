@@ -293,12 +293,14 @@ def _v10_flagged(spark, sf):
 
 @query(
     "v13_recorded_outcomes",
-    over_audit("SELECT verb, voice, mood, tense, CASE WHEN status = 'flagged' THEN 'ok' ELSE status END AS status, CASE WHEN status = 'flagged' THEN 'you' ELSE auditor END AS auditor FROM audit_log"),
+    over_audit("SELECT verb, voice, mood, tense, CASE WHEN status = 'flagged' THEN 'ok' ELSE status END AS status, CASE WHEN status = 'flagged' THEN 'you' ELSE auditor END AS auditor, "
+        "CASE WHEN status = 'flagged' THEN 'later' ELSE ts END AS ts, CASE WHEN status = 'flagged' THEN '' ELSE flagged_persons END AS flagged_persons, "
+        "CASE WHEN status = 'flagged' THEN '' ELSE note END AS note FROM audit_log"),
 )
 def _v13(spark, sf):
     log = audit_tables(spark, sf)[3]
     done = a.new_records(log.where("status = 'flagged'"), a.OK, "you", F.lit("later"))
-    return a.recorded(log, done).select(*a.UNIT, "status", "auditor")
+    return a.recorded(log, done).select(*a.UNIT, "status", "auditor", "ts", F.array_join("flags.person", "; ").alias("flagged_persons"), "note")
 
 
 @query(

@@ -14,12 +14,15 @@ LOG_TYPE = (
 SEARCH_TYPE = "struct<result:array<struct<nature:string,label:string,url:string>>>"
 
 
+def parse_page_files(files: DataFrame) -> DataFrame:
+    """(verb, html) of page files (path, content) named ``<verb>.html``; other files are no pages."""
+    pages = files.where(F.endswith("path", F.lit(".html")))
+    return pages.select(F.regexp_extract("path", r"([^/]*)\.html$", 1).alias("verb"), F.decode("content", "UTF-8").alias("html"))
+
+
 def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     """(verb, html) of a folder of ``<verb>.html`` files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html").load(path)
-    return files.select(
-        F.regexp_extract("path", r"([^/]*)\.html$", 1).alias("verb"), F.decode("content", "UTF-8").alias("html")
-    )
+    return parse_page_files(spark.read.format("binaryFile").option("pathGlobFilter", "*.html").load(path))
 
 
 def pages_of_headwords(pages: DataFrame, headwords: DataFrame) -> DataFrame:

@@ -19,7 +19,10 @@ def upsert_store(store: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def document_lines(store: DataFrame) -> DataFrame:
-    """(verb, line): lines that, one below the other in order of the verb, are one JSON document."""
+    """(verb, line): lines that, one below the other in order of the verb, are one JSON document.
+
+    Save the store first: it is read for its first and last verb and for its lines.
+    """
     member = F.col("data").substr(F.lit(2), F.length("data") - 2)
     ends = store.agg(F.min("verb").alias("first"), F.max("verb").alias("last"))
     first, last = ends.select("first").scalar(), ends.select("last").scalar()
