@@ -170,12 +170,12 @@ def participle_keys(rows: DataFrame) -> DataFrame:
 def evidence(units_: DataFrame, verbs: DataFrame, pages: DataFrame) -> DataFrame:
     """Units with ``block``, the part of the source page that states them; NULL if there is none.
 
-    Each page is parsed once: units are gathered per page (their number is fixed by the data model),
-    the blocks of the page are listed step by step, and only the cut-out texts leave it.
+    Each page is parsed once and its blocks are cut out on its own row; only these are shuffled, never a page.
     """
     served = page_availability(verbs, pages).select("verb", "page_verb")
-    wanted = units_.join(served, "verb").groupBy("verb", "page_verb").agg(F.collect_set(F.struct("voice", "mood", "tense")).alias("units"))
-    parsed = wanted.join(pages.select(F.col("verb").alias("page_verb"), "html"), "page_verb", "left").withColumn("nodes", page_nodes("html"))
+    unit = ["voice", "mood", "tense"]
+    wanted = units_.join(served, "verb").select("verb", "page_verb", *unit).distinct().withColumn("key", F.concat_ws("|", *unit))
+    parsed = pages.select(F.col("verb").alias("page_verb"), "html").withColumn("nodes", page_nodes("html"))
     parsed = parsed.withColumn("divs", F.filter("nodes.blocks", lambda b: b["tag"] == "div"))
 
     def first_with_id(div_id: str) -> Column:
@@ -232,11 +232,10 @@ def evidence(units_: DataFrame, verbs: DataFrame, pages: DataFrame) -> DataFrame
         ),
     )
 
-    def cut(u: Column) -> Column:
-        key = F.concat_ws("|", u["voice"], u["mood"], u["tense"])
-        # The first part of a key; its span is looked up once and cut out of the page.
-        span = F.slice(F.filter("parts", lambda p: p["key"] == key), 1, 1)
-        texts = F.transform(span, lambda p: F.substring(F.col("html"), p["start"] + 1, p["end"] - p["start"]))
-        return F.struct(u["voice"].alias("voice"), u["mood"].alias("mood"), u["tense"].alias("tense"), F.get(texts, 0).alias("block"))
-
-    return parsed.select("verb", "page_verb", F.explode(F.transform("units", cut)).alias("u")).select("verb", "page_verb", "u.*")
+    # The first part of a key counts.
+    firsts = F.filter("parts", lambda p, i: ~F.exists(F.slice("parts", 1, i), lambda o: o["key"] == p["key"]))
+    cut = F.transform(
+        firsts, lambda p: F.struct(p["key"].alias("key"), F.substring(F.col("html"), p["start"] + 1, p["end"] - p["start"]).alias("block"))
+    )
+    blocks = parsed.select("page_verb", F.explode(cut).alias("c")).select("page_verb", "c.key", "c.block")
+    return wanted.join(blocks, ["page_verb", "key"], "left").select("verb", "page_verb", *unit, "block")
