@@ -128,8 +128,7 @@ def test_gradients():
         assert abs((above - below) / 2e-4 - g[at]) < 1e-3 * max(1e-3, abs(g[at])) + 2e-6, name
 
 
-def test_toxicity(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "CELLS", 1 << 12)
+def test_toxicity(spark):
     draw, docs, labels = random.Random(5), [], []
     for i in range(360):
         words = prose(draw, "aa", draw.randrange(5, 60)).split()
