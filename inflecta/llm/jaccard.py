@@ -8,7 +8,8 @@ How it is found, exactly:
 * A shingle is a 64-bit token whose natural order is one global order: shingles that a fixed-size count sketch
   finds frequent come last (6 bits of level), the rest follows their hash. Two sets that link share a token among
   the first n - T + 1 of each (T: the overlap any link needs); only these are shuffled, and only tokens that
-  two nodes share stay. A pair is a candidate only through a token whose positions leave room for the overlap.
+  two nodes share stay. A pair is a candidate only through a token that, as the pair's first, leaves room for the
+  overlap beside the tokens before it and those that a node shares with none.
 * A search takes a query set and the inverted lists of its tokens over a chunk of candidates. As in DivideSkip,
   the L longest lists are set aside: the short ones are merged by a heap, candidates met T - L times or more are
   probed in the long ones by binary search, and those that reach the overlap of the pair are links.
@@ -32,7 +33,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inflecta.llm.common import Scratch, slices
@@ -47,7 +48,7 @@ CHUNK = 1024
 FILTER_BITS = 25
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose hash a task remembers before it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 
 class Shingler:
@@ -138,13 +139,21 @@ def pair_overlap(n, m, threshold: int):
     return -(-threshold * (n + m) // (100 + threshold))
 
 
-def _sets(docs: DataFrame, order, words: int, threshold: int, text: str, prefix: bool) -> DataFrame:
-    """All columns but the text; n, digest, and the first tokens needed (``prefix``) or all of them as uint64 bytes."""
+def _sets(docs: DataFrame, order, words: int, threshold: int, text: str, prefix: bool, among=None) -> DataFrame:
+    """All columns but the text; n, digest, and the first tokens needed (``prefix``) or all of them as uint64 bytes.
+
+    ``among``: a broadcast bitmap (``_id_filter``) of the doc_ids wanted; most others are left out before they are cut.
+    """
     others = [c for c in docs.columns if c != text]
 
+    def chosen(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cells = _cells_of(batch.column(batch.schema.get_field_index("doc_id")).fill_null(0).to_numpy())
+        there = among.value[(cells >> np.uint64(5)).astype(np.int64)] >> (cells & np.uint64(31)).astype(np.uint32) & 1
+        return batch.filter(pa.array(there == 1))
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, ordered = Shingler(words), order.value
-        for batch in slices(batches, text):
+        for batch in slices(batches if among is None else map(chosen, batches), text):
             n, digests, tokens = [], [], []
             for one in _texts(batch, text):
                 hashes = shingler.hashes(one)
@@ -210,16 +219,24 @@ def _shared(nodes: DataFrame) -> DataFrame:
     return rows.repartition("token", salt).sortWithinPartitions("token", "node").mapInArrow(keep, kind)
 
 
-def _room(threshold: int):
-    """Whether positions of a shared token leave room for the overlap that the pair (x, y) needs."""
-    needed = F.ceil(F.lit(threshold) * (F.col("x_n") + F.col("y_n")) / F.lit(100 + threshold))
-    return F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at")) >= needed
+def _needed(n: Column, m: Column, threshold: int) -> Column:
+    """``pair_overlap`` as a column."""
+    return F.ceil(F.lit(threshold) * (n + m) / F.lit(100 + threshold))
+
+
+def _enough(threshold: int) -> Column:
+    """Whether a shared token, if the pair's first, leaves room for the overlap that the pair (x, y) needs."""
+    return F.least("x_room", "y_room") >= _needed(F.col("x_n"), F.col("y_n"), threshold)
 
 
 def _as(rows: DataFrame, side: str, *columns: str) -> DataFrame:
     return rows.select("token", *[F.col(c).alias(side if c == "node" else f"{side}_{c}") for c in columns])
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+
+
 def search(query: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[int]:
     """Places in ``sets`` of those that link with ``query``, by DivideSkip over the query's inverted lists."""
     if not len(query) or not sets:
@@ -253,7 +270,7 @@ def search(query: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[in
 
 def _links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Those of the distinct pairs (x, y) that link. Each query x meets its candidates in chunks."""
-    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("y"), F.ceil(F.count("*").over(_by_query()) / CHUNK)))
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("y"), F.ceil(F.count("*").over(Window.partitionBy("x")) / CHUNK)))
     members = pairs.join(sets.withColumnRenamed("node", "y"), "y").select("x", "part", "y", "tokens")
     queries = pairs.select("x", "part").distinct().join(sets.withColumnRenamed("node", "x"), "x")
     rows = members.unionByName(queries.select("x", "part", F.col("x").alias("y"), "tokens"))
@@ -269,12 +286,6 @@ def _links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return rows.groupBy("x", "part").applyInArrow(run, "a long, b long")
 
 
-def _by_query():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("x")
-
-
 def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -290,24 +301,38 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, tex
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = scratch.save(nodes, "nodes")
-    shared = scratch.save(_shared(nodes), "shared")
+    # The tokens that a node shares with none leave less room for an overlap.
+    of_node = Window.partitionBy("node")
+    ranked = _shared(nodes).select(
+        "token",
+        "node",
+        "n",
+        F.count("*").over(of_node).alias("degree"),
+        F.row_number().over(of_node.orderBy("at")).alias("place"),
+    )
+    first_tokens = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
+    shared = scratch.save(ranked.select("token", "node", "n", "degree", (F.col("n") - (first_tokens - F.col("degree")) - (F.col("place") - 1)).cast("int").alias("room")), "all")
+    # Only rows whose room is enough for the smallest set of their token stay, then only tokens of two rows or more.
+    smallest = shared.groupBy("token").agg(F.min("n").alias("x_n"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    fits = F.col("room") >= _needed(F.greatest("x_n", F.ceil(F.lit(threshold) * F.col("n") / 100)), F.col("n"), threshold)
+    shared = scratch.save(shared.join(smallest, "token").where(fits).drop("x_n"), "shared")
+    scratch.drop("all")
 
     # The hub of a node: of those it shares a token with, the one that shares most tokens itself.
-    degree = shared.groupBy("node").agg(F.count("*").alias("degree"))
-    ranked = shared.join(degree, "node")
-    best = ranked.groupBy("token").agg(F.max(F.struct("degree", (-F.col("node")).alias("node"), "n", "at")).alias("hub"))
-    hubs = _as(best.select("token", (-F.col("hub.node")).alias("node"), "hub.degree", "hub.n", "hub.at"), "x", "node", "degree", "n", "at")
+    best = shared.groupBy("token").agg(F.max(F.struct("degree", (-F.col("node")).alias("node"), "n", "room")).alias("hub"), F.count("*").alias("rows"))
+    best = best.where("rows > 1").select("token", (-F.col("hub.node")).alias("node"), "hub.degree", "hub.n", "hub.room")
     tried = (
-        hubs.join(_as(ranked, "y", "node", "n", "at"), "token")
-        .where((F.col("x") != F.col("y")) & _room(threshold))
+        _as(best, "x", "node", "degree", "n", "room")
+        .join(_as(shared, "y", "node", "n", "room"), "token")
+        .where((F.col("x") != F.col("y")) & _enough(threshold))
         .groupBy("y")
         .agg(F.max(F.struct("x_degree", (-F.col("x")).alias("x"))).alias("h"))
         .select((-F.col("h.x")).alias("x"), "y")
     )
     tried = scratch.save(tried, "tried")
-    # All tokens of the nodes that share any, from the texts.
-    wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "digest", "least")
-    sets = scratch.save(_tokens_of(docs, wanted, order, words, threshold), "sets")
+    # All tokens of the nodes to be searched, from the texts.
+    named = _ends(tried)
+    sets = scratch.save(_tokens_of(docs, nodes.join(named, "node", "left_semi"), order, words, threshold), "sets")
     links = scratch.save(_links(tried, sets, threshold), "links-0")
     label = components(links, scratch, "hubs")
 
@@ -316,15 +341,19 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, tex
     largest = sizes.groupBy("token").agg(F.max(F.struct("size", "component")).alias("l"), F.count("*").alias("classes"))
     mixed = largest.where("classes > 1").select("token", F.col("l.component").alias("largest"))
     open_rows = scratch.save(labelled.join(mixed, "token"), "open")
-    queries = _as(open_rows.where("component <> largest"), "x", "node", "n", "at", "component")
+    queries = _as(open_rows.where("component <> largest"), "x", "node", "n", "room", "component")
     pairs = (
-        queries.join(_as(open_rows, "y", "node", "n", "at", "component", "largest"), "token")
+        queries.join(_as(open_rows, "y", "node", "n", "room", "component", "largest"), "token")
         .where("x_component <> y_component AND (y_component = y_largest OR x < y)")
-        .where(_room(threshold))
+        .where(_enough(threshold))
         .select("x", "y")
         .distinct()
     )
-    more = scratch.save(_links(scratch.save(pairs, "pairs"), sets, threshold), "links-1")
+    pairs = scratch.save(pairs, "pairs")
+    others = nodes.join(_ends(pairs), "node", "left_semi").join(named, "node", "left_anti")
+    others = scratch.save(_tokens_of(docs, others, order, words, threshold), "other-sets")
+    more = scratch.save(_links(pairs, sets.unionByName(others), threshold), "links-1")
+    scratch.drop("sets", "other-sets", "pairs", "open", "shared", "tried")
     final = components(links.unionByName(more), scratch, "all")
 
     least = nodes.join(final, "node").groupBy("component").agg(F.min("least").alias("component_id"))
@@ -361,15 +390,8 @@ def _tokens_of(docs: DataFrame, wanted: DataFrame, order, words: int, threshold:
 
     A bitmap of the documents' ids leaves out nearly all other texts before they are cut; the join is exact.
     """
-    bitmap = _id_filter(wanted.select("least"))
-
-    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
-        for batch in batches:
-            cells = _cells_of(batch.column(0).fill_null(0).to_numpy())
-            there = bits[(cells >> np.uint64(5)).astype(np.int64)] >> (cells & np.uint64(31)).astype(np.uint32) & 1
-            yield batch.filter(pa.array(there == 1))
-
-    texts = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(chosen, "doc_id long, text string")
-    sets = _sets(texts, order, words, threshold, "text", prefix=False).select("digest", "tokens")
-    return wanted.select("node", "digest").join(sets, "digest").select("node", "tokens").dropDuplicates(["node"])
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    sets = _sets(texts, order, words, threshold, "text", prefix=False, among=_id_filter(wanted.select("least")))
+    found = wanted.select("node", "digest", "least").join(sets.select("doc_id", "digest", "tokens"), "digest").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    # Repeated rows of a document give its set twice; the join has put them together.
+    return found.groupBy("digest").agg(F.first("node").alias("node"), F.first("tokens").alias("tokens")).select("node", "tokens")
