@@ -53,7 +53,9 @@ def path_of(url: Column) -> Column:
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
-    return spark.createDataFrame(rules, "rule_host string, rule_path string, rule_verdict string")
+    names = ("rule_host", "rule_path", "rule_verdict")
+    rows = [F.struct(*[F.lit(value).alias(name) for name, value in zip(names, rule, strict=True)]) for rule in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def domains_of(host: Column) -> Column:
