@@ -270,7 +270,8 @@ def search(query: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[in
 
 def _links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Those of the distinct pairs (x, y) that link. Each query x meets its candidates in chunks."""
-    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("y"), F.ceil(F.count("*").over(Window.partitionBy("x")) / CHUNK)))
+    sizes = pairs.groupBy("x").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))
+    pairs = pairs.join(sizes, "x").select("x", "y", F.pmod(F.xxhash64("y"), F.col("parts")).alias("part"))
     members = pairs.join(sets.withColumnRenamed("node", "y"), "y").select("x", "part", "y", "tokens")
     queries = pairs.select("x", "part").distinct().join(sets.withColumnRenamed("node", "x"), "x")
     rows = members.unionByName(queries.select("x", "part", F.col("x").alias("y"), "tokens"))
