@@ -224,15 +224,15 @@ def chunks_of(text: str, ids: list[bytes]) -> list[str]:
     return [parts[0], *[" " + part for part in parts[1:]]]
 
 
-def _refuse(df: DataFrame, *names: str) -> None:
-    taken = {c.lower() for c in df.columns} & set(names)
+def _refuse(columns: list[str], *names: str) -> None:
+    taken = {c.lower() for c in columns} & set(names)
     if taken:
         raise ValueError(f"the input already has columns named {sorted(taken)}")
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """All columns of ``docs`` and ``ids``, an array of int, never NULL."""
-    _refuse(docs, ids)
+    _refuse(docs.columns, ids)
     merges = docs.sparkSession.sparkContext.broadcast(Merges(load_ranks(ranks_path)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +249,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
 
 def decode(rows: DataFrame, ranks_path: str, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
     """All columns of ``rows`` and ``decoded``: the bytes of the tokens, joined; NULL ids give NULL."""
-    _refuse(rows, decoded)
+    _refuse(rows.columns, decoded)
     by_id = {rank: token for token, rank in load_ranks(ranks_path).items()}
     tokens = rows.sparkSession.sparkContext.broadcast(by_id)
 

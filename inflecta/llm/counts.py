@@ -21,7 +21,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inflecta.llm.bpe import Encoder, Merges, _refuse, chunks_of, load_ranks
@@ -96,9 +95,17 @@ class CountedText:
 
 def build_trees(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """All columns of ``docs``; ``leaf_chars`` and ``token_tree`` (int32 as bytes, see ``sums_above``); ``n_tokens`` long."""
-    _refuse(docs, "leaf_chars", "token_tree", "n_tokens")
     merges = docs.sparkSession.sparkContext.broadcast(Merges(load_ranks(ranks_path)))
+    return docs.mapInArrow(_building(merges, pattern, text), _built(docs.schema))
 
+
+def _built(schema: T.StructType) -> T.StructType:
+    _refuse(schema.names, "leaf_chars", "token_tree", "n_tokens")
+    kinds = (("leaf_chars", T.BinaryType()), ("token_tree", T.BinaryType()), ("n_tokens", T.LongType()))
+    return T.StructType([*schema.fields, *(T.StructField(n, k) for n, k in kinds)])
+
+
+def _building(merges, pattern: str, text: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(merges.value, pattern)
         for batch in slices(batches, text, 2048, 8 << 20):
@@ -112,8 +119,7 @@ def build_trees(docs: DataFrame, ranks_path: str, pattern: str, text: str = "tex
             new = [pa.array(chars, pa.binary()), pa.array(trees, pa.binary()), pa.array(totals, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "leaf_chars", "token_tree", "n_tokens"])
 
-    kinds = (("leaf_chars", T.BinaryType()), ("token_tree", T.BinaryType()), ("n_tokens", T.LongType()))
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in kinds)]))
+    return run
 
 
 def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, text: str = "text", edits: str = "edits") -> DataFrame:
@@ -122,10 +128,17 @@ def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, text: str = "te
     ``text``, ``leaf_chars``, ``token_tree`` and ``n_tokens`` are renewed, ``edits`` becomes NULL; ``n_tokens_before``
     (long), ``n_edits`` (int) and ``chars_encoded`` (long, characters encoded again) are added.
     """
-    _refuse(trees, "n_tokens_before", "n_edits", "chars_encoded")
     merges = trees.sparkSession.sparkContext.broadcast(Merges(load_ranks(ranks_path)))
-    names = trees.columns
+    return trees.mapInArrow(_editing(merges, pattern, text, edits), _edited(trees.schema))
+
+
+def _edited(schema: T.StructType) -> T.StructType:
+    _refuse(schema.names, "n_tokens_before", "n_edits", "chars_encoded")
+    kinds = (("n_tokens_before", T.LongType()), ("n_edits", T.IntegerType()), ("chars_encoded", T.LongType()))
+    return T.StructType([*schema.fields, *(T.StructField(n, k) for n, k in kinds)])
+
 
+def _editing(merges, pattern: str, text: str, edits: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(merges.value, pattern)
         for batch in slices(batches, text, 2048, 8 << 20):
@@ -152,9 +165,7 @@ def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, text: str = "te
                 [*(columns[n] for n in batch.schema.names), *new], names=[*batch.schema.names, "n_tokens_before", "n_edits", "chars_encoded"]
             )
 
-    kinds = (("n_tokens_before", T.LongType()), ("n_edits", T.IntegerType()), ("chars_encoded", T.LongType()))
-    result = trees.mapInArrow(run, T.StructType([*trees.schema.fields, *(T.StructField(n, k) for n, k in kinds)]))
-    return result.select(*names, "n_tokens_before", "n_edits", "chars_encoded")
+    return run
 
 
 #: What counts as personal data in ``masking_edits``: addresses with an at sign, and runs of five digits or more.
@@ -164,8 +175,15 @@ _MAIL_OR_DIGITS = re.compile(r"[^\s@]*@[^\s@]+|[0-9]{5,}")
 
 def masking_edits(docs: DataFrame, text: str = "text", edits: str = "edits", mask: str = "***") -> DataFrame:
     """Add ``edits`` that replace personal data by ``mask``, last place first, so that each fits the text it finds."""
-    _refuse(docs, edits)
+    return docs.mapInArrow(_masking(text, edits, mask), _masked(docs.schema, edits))
+
+
+def _masked(schema: T.StructType, edits: str) -> T.StructType:
+    _refuse(schema.names, edits)
+    return T.StructType([*schema.fields, T.StructField(edits, T._parse_datatype_string(EDITS))])
+
 
+def _masking(text: str, edits: str, mask: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             found = []
@@ -175,11 +193,20 @@ def masking_edits(docs: DataFrame, text: str = "text", edits: str = "edits", mas
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("replacement", pa.string())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, edits])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(edits, T._parse_datatype_string(EDITS))]))
+    return run
 
 
 def counts_after_masking(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, n_edits, n_tokens_before, n_tokens, chars_encoded) of each row, personal data masked by edits."""
-    trees = build_trees(masking_edits(docs.select("doc_id", "text")), ranks_path, pattern)
-    done = apply_edits(trees, ranks_path, pattern)
-    return done.select("doc_id", "n_edits", "n_tokens_before", "n_tokens", F.col("chars_encoded"))
+    docs = docs.select("doc_id", "text")
+    merges = docs.sparkSession.sparkContext.broadcast(Merges(load_ranks(ranks_path)))
+    mask, build, edit = _masking("text", "edits", "***"), _building(merges, pattern, "text"), _editing(merges, pattern, "text", "edits")
+    kept = ["doc_id", "n_edits", "n_tokens_before", "n_tokens", "chars_encoded"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The three operators one after the other in one worker; texts and trees need not leave it.
+        for batch in edit(build(mask(batches))):
+            yield batch.select(kept)
+
+    schema = _edited(_built(_masked(docs.schema, "edits")))
+    return docs.mapInArrow(run, T.StructType([schema[c] for c in kept]))
