@@ -193,28 +193,31 @@ class Encoder:
                 block, size = [], 0
         return [b"".join(map(ids.__getitem__, tokens)) for tokens in cut]
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: set[str], texts: list[str]) -> list[bytes]:
+        """Get to know the chunks; ids of further texts, encoded with them."""
         known = self.known
         new = [c for c in chunks if c not in known]
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = list(chunks)
         spaced = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
+        ids = self._encode([*(" " + c for c in spaced), *texts])
         known.update(dict.fromkeys(new))
-        known.update(zip(spaced, self._encode([" " + c for c in spaced]), strict=True))
+        known.update(zip(spaced, ids, strict=False))
+        return ids[len(spaced) :]
 
     def ids(self, texts: list[str | None]) -> list[list[bytes]]:
         """Ids of each text as int32 bytes, one entry for each of its chunks (``chunks_of`` gives their texts)."""
         cut = [text.split(" ") if text else [""] for text in texts]
         first = [parts.pop(0) for parts in cut]
-        self._learn(set().union(*cut))
+        own = self._learn(set().union(*cut), first)
         find = self.known.__getitem__
         out = [list(map(find, parts)) for parts in cut]
-        for i, ids in enumerate(out):
-            if ids and (not first[i] or first[i][-1].isspace() or None in ids):
-                first[i], out[i] = texts[i], []
-        for ids, own in zip(out, self._encode(first), strict=True):
-            ids.insert(0, own)
+        odd = [i for i, ids in enumerate(out) if ids and (not first[i] or first[i][-1].isspace() or None in ids)]
+        for i, ids in zip(odd, self._encode([texts[i] for i in odd]), strict=True):
+            own[i], out[i] = ids, []
+        for ids, start in zip(out, own, strict=True):
+            ids.insert(0, start)
         return out
 
 

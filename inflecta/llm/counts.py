@@ -20,10 +20,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from inflecta.llm.bpe import Encoder, Merges, _refuse, chunks_of, load_ranks
+from inflecta.llm.bpe import Encoder, Merges, _refuse, load_ranks
 from inflecta.llm.common import slices
 
 EDITS = "array<struct<start:int,end:int,replacement:string>>"
@@ -112,7 +113,9 @@ def _building(merges, pattern: str, text: str):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             chars, trees, totals = [], [], []
             for one, ids in zip(texts, encoder.ids(texts), strict=True):
-                chars.append(np.fromiter(map(len, chunks_of(one, ids)), np.int32, len(ids)).tobytes())
+                sizes = np.fromiter(map(len, one.split(" ") if len(ids) > 1 else [one]), np.int32, len(ids))
+                sizes[1:] += 1  # the space that a chunk begins with
+                chars.append(sizes.tobytes())
                 tree = sums_above(np.fromiter(map(len, ids), np.int32, len(ids)) // 4)
                 trees.append(tree.tobytes())
                 totals.append(int(tree[1]))
@@ -141,28 +144,30 @@ def _edited(schema: T.StructType) -> T.StructType:
 def _editing(merges, pattern: str, text: str, edits: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(merges.value, pattern)
-        for batch in slices(batches, text, 2048, 8 << 20):
+        for batch in batches:
             columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            state = {n: columns[n].to_pylist() for n in (text, "leaf_chars", "token_tree", "n_tokens")}
-            before, done, encoded = list(state["n_tokens"]), [0] * batch.num_rows, [0] * batch.num_rows
-            for i, own in enumerate(columns[edits].to_pylist()):
-                if not own:
-                    continue
-                chars, tokens = (np.frombuffer(state[n][i], np.int32) for n in ("leaf_chars", "token_tree"))
-                counted = CountedText(state[text][i] or "", chars, tokens, encoder)
-                for edit in own:
+            before, done, encoded = columns["n_tokens"], np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int64)
+            given = pc.fill_null(pc.list_value_length(columns[edits]), 0).to_numpy()
+            state: dict[str, list] = {n: [] for n in (text, "leaf_chars", "token_tree", "n_tokens")}
+            for i in np.flatnonzero(given).tolist():
+                chars, tokens = (np.frombuffer(columns[n][i].as_py(), np.int32) for n in ("leaf_chars", "token_tree"))
+                counted = CountedText(columns[text][i].as_py() or "", chars, tokens, encoder)
+                for edit in columns[edits][i].as_py():
                     if edit is not None:
                         counted.edit(edit["start"] or 0, edit["end"] or 0, edit["replacement"] or "")
                         done[i] += 1
-                state[text][i], encoded[i] = counted.text, counted.encoded
+                encoded[i] = counted.encoded
                 width = len(counted.chars) // 2
-                state["leaf_chars"][i] = counted.chars[width : width + counted.leaves].tobytes()
-                state["token_tree"][i], state["n_tokens"][i] = counted.tokens.tobytes(), int(counted.tokens[1])
-            columns |= {n: pa.array(values, columns[n].type) for n, values in state.items()}
+                new = counted.text, counted.chars[width : width + counted.leaves].tobytes(), counted.tokens.tobytes(), int(counted.tokens[1])
+                for values, value in zip(state.values(), new, strict=True):
+                    values.append(value)
+            if given.any():  # only the rows with edits change
+                mask = pa.array(given > 0)
+                columns |= {n: pc.replace_with_mask(columns[n], mask, pa.array(values, columns[n].type)) for n, values in state.items()}
             columns[edits] = pa.nulls(batch.num_rows, columns[edits].type)
-            new = [pa.array(before, pa.int64()), pa.array(done, pa.int32()), pa.array(encoded, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [*(columns[n] for n in batch.schema.names), *new], names=[*batch.schema.names, "n_tokens_before", "n_edits", "chars_encoded"]
+                [*(columns[n] for n in batch.schema.names), before, pa.array(done), pa.array(encoded)],
+                names=[*batch.schema.names, "n_tokens_before", "n_edits", "chars_encoded"],
             )
 
     return run
@@ -185,7 +190,7 @@ def _masked(schema: T.StructType, edits: str) -> T.StructType:
 
 def _masking(text: str, edits: str, mask: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, 2048, 8 << 20):
             found = []
             for one in batch.column(batch.schema.get_field_index(text)).to_pylist():
                 matches = list((_MAIL_OR_DIGITS if "@" in (one or "") else _DIGITS).finditer(one or ""))
