@@ -4,11 +4,11 @@ A word's vector joins a hashed word embedding with what the same kind of network
 makes of its characters, so unseen words are judged by how they are built. A second one reads windows of ``WINDOW``
 words that overlap by half; a document's score is that of its highest window, calibrated over whole documents.
 
-Labels mark documents, not windows. Over all labelled training rows, class counts of words and of their character
-pieces tell which windows of a toxic document are likely the reason. At most ``PER_CLASS`` documents of each class
-(a stated bound; the same rows in every run) give a few windows each for training: the likeliest, and for clean
-documents also some by hash. In training the window of a toxic document that the model itself finds highest counts.
-Scoring covers every window of every text.
+Labels mark documents, not windows. The model is fitted on bounded samples of labelled rows, the same in every run:
+over ``COUNTED`` rows of each class, counts of words and of their character pieces tell which windows of a toxic
+document are likely the reason; ``PER_CLASS`` of them give a few windows each for training: the likeliest, and for
+clean documents also some by hash; as many others calibrate. In training the window of a toxic document that the
+model itself finds highest counts. Scoring covers every window of every text.
 
 Defined results: NULL, empty and word-less texts have one empty window and get the score of that; without labelled
 rows of both classes every score is the share of label 1, or 0 without any; repeated rows are scored each.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inflecta.llm.common import fold_of, labelled_sample, slices
+from inflecta.llm.common import class_sizes, fold_of, labelled_sample, slices
 from inflecta.llm.quality import calibrate
 
 WINDOW, STRIDE = 16, 8
@@ -33,7 +33,7 @@ WINDOW, STRIDE = 16, 8
 LONGEST = 24
 CHARS, CHAR_SIZE, CHAR_HIDDEN = 128, 8, 8
 WORDS, WORD_SIZE, HIDDEN, ATTENTION = 1 << 13, 8, 8, 8
-PER_CLASS = 1000
+PER_CLASS, COUNTED = 1000, 5000
 #: Cells of the class counts that point to likely windows.
 CELLS = 1 << 18
 #: Words a task remembers, and windows it runs at a time.
@@ -226,7 +226,7 @@ class Adam:
 
 
 def fit_windows(
-    bags: list[tuple[int, list[list[str]]]], rounds: int = 6, hard: int = 3, easy: int = 1, batch: int = 64, rate: float = 0.01, seed: int = 3
+    bags: list[tuple[int, list[list[str]]]], rounds: int = 8, hard: int = 3, easy: int = 1, batch: int = 64, rate: float = 0.01, seed: int = 3
 ) -> Network:
     """A network from bags (label, windows).
 
@@ -333,8 +333,8 @@ class Cells:
         return out
 
 
-def class_odds(rows: DataFrame, label: str, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of each class, and for each cell the log odds of class 1, over all labelled rows."""
+def class_odds(rows: DataFrame, label: str, text: str) -> np.ndarray:
+    """For each cell the log odds of class 1 in labelled rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, totals, cells = np.zeros((2, CELLS), np.int64), np.zeros(2, np.int64), Cells()
@@ -355,7 +355,7 @@ def class_odds(rows: DataFrame, label: str, text: str) -> tuple[np.ndarray, np.n
     totals = counts[:, -1].copy()
     rate = (counts[:, :-1] + 0.5) / (totals[:, None] + 1)
     # A cell seen in few toxic rows says little.
-    return totals, (np.log(rate[1]) - np.log(rate[0])) * np.minimum(1, counts[1, :-1] / 5)
+    return (np.log(rate[1]) - np.log(rate[0])) * np.minimum(1, counts[1, :-1] / 5)
 
 
 def likely_windows(rows: DataFrame, odds: np.ndarray, label: str, text: str, likely: int = 4, others: int = 8) -> DataFrame:
@@ -383,23 +383,47 @@ def likely_windows(rows: DataFrame, odds: np.ndarray, label: str, text: str, lik
     return rows.mapInArrow(run, "doc_id long, label int, windows array<string>")
 
 
-def train(rows: DataFrame, label: str, text: str = "text", per_class: int = PER_CLASS) -> Network | float:
-    """A calibrated network from labelled rows (doc_id, text, label 0 or 1); a constant score where there is none of a class."""
-    rows = rows.where(F.col(label).isin(0, 1)).select("doc_id", text, label)
-    totals, odds = class_odds(rows, label, text)
+def train(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", per_class: int = PER_CLASS) -> Network | float:
+    """A calibrated network of ``label`` (0 or 1) in ``labels`` (doc_id, label), outside the held-out fold.
+
+    A constant score where there is no row of a class.
+    """
+    totals = np.array(class_sizes(labels, label), float)
+    constant = float(totals[1] / totals.sum()) if totals.sum() else 0.0
     if not totals.all():
-        return float(totals[1] / totals.sum()) if totals.sum() else 0.0
-    found = likely_windows(labelled_sample(rows, label, per_class), odds, label, text).toPandas()
+        return constant
+    odds = class_odds(labelled_sample(docs, labels, label, COUNTED, text=text), label, text)
+    found = likely_windows(labelled_sample(docs, labels, label, per_class, text=text), odds, label, text).toPandas()
+    if found["label"].nunique() < 2:  # labels of documents that are not there
+        return constant
     found = found.assign(key=[zlib.crc32(str(i).encode()) for i in found["doc_id"]]).sort_values(["key", "doc_id"])
     network = fit_windows([(int(y), [w.split() for w in ws]) for y, ws in zip(found["label"], found["windows"], strict=True)])
-    # Other rows where there are enough: a further sample by another hash, scored over all their windows.
-    scored = logits(labelled_sample(rows, label, per_class, "calibration"), network, text).select(label, "logit").toPandas()
-    labels = scored[label].to_numpy(int)
-    weights = (totals / totals.sum() / np.maximum(np.bincount(labels, minlength=2) / len(labels), 1e-9))[labels]
-    network.a, network.b = calibrate(scored["logit"].to_numpy(), labels, weights)
+    # Highest logits of whole documents; the model has seen some of them where there are few.
+    scored = logits(labelled_sample(docs, labels, label, 2 * per_class, text=text), network, text).select("doc_id", label, "logit").toPandas()
+    fresh = scored[~scored["doc_id"].isin(found["doc_id"])]
+    scored = fresh if fresh[label].value_counts().reindex([0, 1], fill_value=0).min() >= per_class // 4 else scored
+    y = scored[label].to_numpy(int)
+    weights = (totals / totals.sum() / np.maximum(np.bincount(y, minlength=2) / len(y), 1e-9))[y]
+    z = scored["logit"].to_numpy()
+    network.a = max(calibrate(z, y, weights)[0], 0.1)
+    network.b = -network.a * best_cut(z, y, weights)
     return network
 
 
+def best_cut(z: np.ndarray, y: np.ndarray, weights: np.ndarray) -> float:
+    """The place between two logits that divides the classes with the least weighted error; of equals the middle one."""
+    order = np.argsort(z, kind="stable")
+    z, y, weights = z[order], y[order], weights[order]
+    missed = np.append(0, np.cumsum(weights * (y == 1)))  # rows below the cut are taken for class 0
+    wrong = np.append(np.cumsum((weights * (y == 0))[::-1])[::-1], 0)
+    errors = missed + wrong
+    errors[1:-1][z[1:] == z[:-1]] = np.inf  # equal logits are not divided
+    best = np.flatnonzero(errors <= errors.min() + 1e-9)
+    at = int(best[len(best) // 2])
+    low, high = z[at - 1] if at else z[0] - 2, z[at] if at < len(z) else z[-1] + 2
+    return float(low + high) / 2
+
+
 def logits(docs: DataFrame, network: Network, text: str = "text", logit: str = "logit") -> DataFrame:
     """All columns of ``docs`` and ``logit``, the highest over all windows of the text."""
     if logit in docs.columns:
