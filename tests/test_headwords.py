@@ -19,7 +19,8 @@ def test_files(spark, rows, tmp_path):
     pages = files.scan_pages(spark, str(tmp_path))
     assert rows(pages) == [("naître", "<p>é</p>")]
     heads = files.parse_headwords(lines(spark, "naître:A9N1\nx:A9X1"))
-    assert rows(files.pages_of_headwords(pages, heads)) == [("naître", "A9N1", "<p>é</p>")]
+    # A headword without a page stays, to be reported.
+    assert rows(files.pages_of_headwords(pages, heads)) == [("naître", "A9N1", "<p>é</p>"), ("x", "A9X1", None)]
     (tmp_path / "list.txt").write_text("b:2\na:1", encoding="utf-8")
     assert rows(files.parse_headwords(files.read_lines(spark, str(tmp_path / "list.txt")))) == [("a", "1"), ("b", "2")]
     (tmp_path / "doc.json").write_text('{"a": {"h_aspire": true}, "b": {}}', encoding="utf-8")
