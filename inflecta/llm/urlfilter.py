@@ -4,9 +4,10 @@ Host and path of a url are cut by text alone: the host lies between the first ``
 ``#`` (A-Z lower-cased), the path after it up to ``?`` or ``#``; both are empty for NULL or without ``://``. A rule
 fits its host and all subdomains if the path starts with the rule's; the longest rule wins.
 
-Urls that no rule fits get the verdict of their host. Trust starts at hosts most of whose pages are allowed by rules,
-distrust at hosts most of whose pages are blocked, in proportion to these pages; trust follows links (personalised PageRank), distrust runs against them
-(whoever links to a distrusted host is distrusted). A host also counts as linked with its parent domain, both ways,
+Urls that no rule fits get the verdict of their host. Trust starts at every host with pages that rules allow, in
+proportion to them, distrust at every host with pages that rules block, however few of its pages these are; a host may
+be both. Trust follows links (personalised PageRank), distrust runs against them (whoever links to a distrusted host is
+distrusted). A host also counts as linked with its parent domain, both ways,
 in so far as both are hosts of the pages or of their links. After a fixed number of rounds, whose error is the damping
 factor to that power, a host is blocked where its share of all distrust exceeds its share of all trust by more than
 ``threshold``, and allowed otherwise.
@@ -130,8 +131,7 @@ def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, rounds
     scratch = Scratch(spark)
     cut = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     judged = scratch.save(judged_by_rules(cut, rule_table(spark, rules)), "judged")
-    most = lambda verdict: F.count(F.when(F.col("by_rule") == verdict, 1))
-    seed = lambda verdict: F.when(2 * most(verdict) > F.count("*"), most(verdict)).otherwise(0)
+    seed = lambda verdict: F.count(F.when(F.col("by_rule") == verdict, 1))
     seeds = scratch.save(judged.groupBy("host").agg(seed("allow").alias("trust"), seed("block").alias("distrust")), "hosts")
     links = scratch.save(host_edges(pages), "links")
     named = seeds.select("host").unionByName(links.select(F.explode(F.array("a", "b")).alias("host"))).distinct().where("host <> ''")

@@ -209,3 +209,11 @@ def test_a_host_that_links_to_blocked_ones_is_blocked(spark):
     rows = [(1, "http://bad.net/es/", None), (2, "http://spam.org/x", '<a href="http://bad.net/">'), (3, "http://ok.org/x", "<a href='http://fine.com/'>"), (4, "http://fine.com/", None)]
     got = {r.page_id: r.verdict for r in urlfilter.verdicts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow"}
+
+
+def test_a_minority_of_blocked_pages_gives_distrust(spark):
+    rows = [(i, f"http://half.net/{'es' if i < 2 else 'de'}/{i}", None) for i in range(10)]  # two of ten blocked, the others undecided
+    rows += [(20, "http://www.example.com/en/", None), (21, "http://fair.org/", None), (22, "http://example.com/de/", None)]
+    got = {r.page_id: r for r in urlfilter.verdicts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[5].rule is None and abs(got[5].distrust - 1) < 1e-12 and got[5].trust == 0
+    assert {got[i].verdict for i in range(10)} == {"block"} and {got[i].verdict for i in (20, 21, 22)} == {"allow"}
