@@ -8,9 +8,10 @@ Urls that no rule fits get the verdict of their host. Trust starts at every host
 proportion to them, distrust at every host with pages that rules block, however few of its pages these are; a host may
 be both. Trust follows links (personalised PageRank), distrust runs against them (whoever links to a distrusted host is
 distrusted). A host also counts as linked with its parent domain, both ways,
-in so far as both are hosts of the pages or of their links. After a fixed number of rounds, whose error is the damping
-factor to that power, a host is blocked where its share of all distrust exceeds its share of all trust by more than
-``threshold``, and allowed otherwise.
+in so far as both are hosts of the pages or of their links. Rounds go on until no host's rank changes by more than
+``SETTLED`` of itself, so also until no further host is reached. Then a host is blocked where its share of all distrust
+exceeds its share of all trust by more than ``threshold``, and allowed otherwise; what lies within rounding errors
+(``EVEN`` of both together) is no excess.
 
 Only DataFrame functions. Links are counted per pair of hosts before anything is joined; ranks are one row per host,
 joined with the edges of the host as often as there are rounds. Joins on a host that has many pages are split by
@@ -22,6 +23,8 @@ judged each; NULL html has no links; no pages give no rows.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +38,10 @@ RULES = [
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 ]
-ROUNDS, DAMPING, THRESHOLD = 6, 0.85, 0.0
+DAMPING, THRESHOLD = 0.85, 0.0
+#: Ranks are written and compared every so many rounds; greatest change, as a share of the rank, of ranks that are done.
+BETWEEN, SETTLED = 3, 1e-6
+EVEN = 1e-9
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -98,11 +104,18 @@ def domain_edges(hosts: DataFrame) -> DataFrame:
     return both.withColumn("links", F.lit(1).cast("long"))
 
 
-def propagated(edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def settled(before: DataFrame, rank: DataFrame) -> bool:
+    """Whether no rank is new or differs by more than ``SETTLED`` of itself."""
+    both = rank.select("kind", "host", "rank", F.lit(0.0).alias("last")).unionByName(before.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("last")))
+    both = both.groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("last").alias("last"))
+    return both.where(F.abs(F.col("rank") - F.col("last")) > SETTLED * F.col("rank")).isEmpty()
+
+
+def propagated(edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
     """(host, trust, distrust): shares of all trust and all distrust. ``seeds``: (host, trust, distrust), counts.
 
     Both kinds run in one table: trust along the edges, distrust against them. What a host without an edge holds
-    goes back to the seeds.
+    goes back to the seeds. Without ``rounds`` they go on until all ranks are settled.
     """
     ways = edges.select(F.lit("trust").alias("kind"), F.col("a").alias("host"), F.col("b").alias("to"), "links")
     ways = ways.unionByName(edges.select(F.lit("distrust").alias("kind"), F.col("b").alias("host"), F.col("a").alias("to"), "links"))
@@ -112,20 +125,24 @@ def propagated(edges: DataFrame, seeds: DataFrame, scratch: Scratch, rounds: int
     whole = start.groupBy("kind").agg(F.sum("n").alias("whole"))  # two rows
     start = scratch.save(start.join(F.broadcast(whole), "kind").select("kind", "host", (F.col("n") / F.col("whole")).alias("seed")), "seeds")
     senders = ways.select("kind", "host").distinct().withColumn("sends", F.lit(True))
-    rank = start.withColumnRenamed("seed", "rank")
-    for number in range(rounds):
+    rank = before = start.withColumnRenamed("seed", "rank")
+    for number in itertools.count() if rounds is None else range(rounds):
         moved = ways.join(rank, ["kind", "host"]).groupBy("kind", F.col("to").alias("host")).agg(F.sum(F.col("share") * F.col("rank")).alias("moved"))
         stuck = rank.join(senders, ["kind", "host"], "left").where("sends IS NULL").groupBy("kind").agg(F.sum("rank").alias("stuck"))  # two rows
         both = moved.unionByName(start.select("kind", "host", F.lit(0.0).alias("moved"))).groupBy("kind", "host").agg(F.sum("moved").alias("moved"))
         back = F.coalesce("seed", F.lit(0.0)) * (1 - damping + damping * F.coalesce("stuck", F.lit(0.0)))
         rank = both.join(start, ["kind", "host"], "left").join(F.broadcast(stuck), "kind", "left").select("kind", "host", (damping * F.col("moved") + back).alias("rank"))
-        if number % 3 == 2:
+        if number % BETWEEN == BETWEEN - 1:
             rank = scratch.save(rank, f"rank-{number}")  # lineage does not grow with the rounds
+            if rounds is None and settled(before, rank):
+                break
+            scratch.drop(f"rank-{number - BETWEEN}")
+            before = rank
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
     return rank.groupBy("host").agg(of("trust"), of("distrust"))
 
 
-def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, rounds: int = ROUNDS, damping: float = DAMPING, threshold: float = THRESHOLD) -> DataFrame:
+def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, rounds: int | None = None, damping: float = DAMPING, threshold: float = THRESHOLD) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) of each row of ``pages`` (page_id, url, html)."""
     spark = pages.sparkSession
     scratch = Scratch(spark)
@@ -142,7 +159,7 @@ def verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, rounds
         "host",
         "path",
         "rule",
-        F.coalesce("by_rule", F.when(F.col("distrust") - F.col("trust") > threshold, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce("by_rule", F.when(F.col("distrust") - F.col("trust") > threshold + EVEN * (F.col("distrust") + F.col("trust")), "block").otherwise("allow")).alias("verdict"),
         F.coalesce("trust", F.lit(0.0)).alias("trust"),
         F.coalesce("distrust", F.lit(0.0)).alias("distrust"),
     )

@@ -217,3 +217,13 @@ def test_a_minority_of_blocked_pages_gives_distrust(spark):
     got = {r.page_id: r for r in urlfilter.verdicts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[5].rule is None and abs(got[5].distrust - 1) < 1e-12 and got[5].trust == 0
     assert {got[i].verdict for i in range(10)} == {"block"} and {got[i].verdict for i in (20, 21, 22)} == {"allow"}
+
+
+def test_rounds_go_on_to_the_end_of_a_chain(spark):
+    link = lambda i: f"<a href='http://h{i - 1}.org/'>" if i > 1 else "<a href='http://bad.net/'>"
+    rows = [(0, "http://bad.net/es/", None), *((i, f"http://h{i}.org/", link(i)) for i in range(1, 11))]  # h10 is ten links from the blocked page
+    got = {r.page_id: r for r in urlfilter.verdicts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(r.verdict == "block" and r.distrust > 0 for r in got.values())
+    # In the limit each host of the chain holds 0.85 of the one before; the last one's share goes back to the seed.
+    assert all(abs(got[i].distrust / got[i - 1].distrust - 0.85) < 1e-5 for i in range(1, 11))
+    assert abs(sum(r.distrust for r in got.values()) - 1) < 1e-9
