@@ -10,7 +10,9 @@ threshold in no block is done; the others are searched with cursors, pivot and b
 A retrieved item is verified: of its question (all but the last sentence) and of its answer (the last one) enough
 n-grams of up to three words must stand in the passage. An item of one sentence is question and answer at once.
 
-Test items are searched in shards of bounded size, each broadcast; documents are never shuffled.
+Item count, mean length and the number of items with a word are those of all items, and passages are twice as long as
+the upper bound of the item's length class, a power of two: what is found of an item does not depend on how items are
+dealt to shards. Shards of bounded size are indexed in tasks and broadcast one by one; documents are never shuffled.
 
 Defined results: NULL, empty and word-less texts and items match nothing; equal items match each; repeated rows are
 searched each; no items leave every document unmatched.
@@ -19,9 +21,10 @@ searched each; no items leave every document unmatched.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inflecta.llm.common import slices
+from inflecta.llm.common import Scratch, slices
 
 K1, B = 1.2, 0.75
 #: Least score of a retrieved item; least share of n-grams of its question and of its answer.
@@ -37,6 +40,8 @@ LEAST, QUESTION, ANSWER = 0.6, 0.6, 0.5
 BLOCK = 4
 #: Bounds of a shard of test items that is broadcast.
 SHARD_ITEMS, SHARD_CHARS = 2000, 4 << 20
+#: Bound of the first length class, in words; what bounds may lose by rounding.
+CLASS, ROUNDING = 32, 1e-5
 #: Tokens whose word a task remembers before it starts anew.
 REMEMBERED = 300_000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -71,23 +76,32 @@ def grams(words: list) -> set[tuple]:
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def length_class(words: int) -> int:
+    """The least power of two that is no less, ``CLASS`` at least."""
+    return max(CLASS, 1 << (words - 1).bit_length())
+
+
 class Index:
-    """Inverted index of a shard of items, by BM25 with weights of sum 1."""
+    """Inverted index of items, by BM25 with weights of sum 1.
+
+    ``whole`` are item count, mean length and items by word of the collection the items are part of, ``longest`` the
+    bound of their length; both are taken from the items themselves where not given.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], k1: float = K1, b: float = B):
+    def __init__(self, items: list[tuple[int, str]], k1: float = K1, b: float = B, whole: tuple[int, float, dict[str, int]] | None = None, longest: int | None = None):
         found = [(item, text, words_of(text)) for item, text in items]
         # Items that share their rarest words, and so their language, come together: blocks have low bounds.
         common = Counter(w for _, _, words in found for w in set(words))
         found = sorted(((i, t, w) for i, t, w in found if w), key=lambda r: (max(set(r[2]), key=lambda w: (common[w], w)), len(r[2]), r[0]))
         self.items = [item for item, _, _ in found]
         self.parts = [tuple(map(grams, question_and_answer(text))) for _, text, _ in found]
-        self.longest = max((len(words) for _, _, words in found), default=0)
-        mean = sum(len(w) for _, _, w in found) / max(len(found), 1)
+        self.longest = longest or max((len(words) for _, _, words in found), default=0)
+        count, mean, having = whole or (len(found), sum(len(w) for _, _, w in found) / max(len(found), 1), common)
         postings: dict[str, list[tuple[int, float]]] = {}
         for number, (_, _, words) in enumerate(found):
             weights = {}
             for word, n in Counter(words).items():
-                idf = math.log(1 + (len(found) - common[word] + 0.5) / (common[word] + 0.5))
+                idf = math.log(1 + (count - having[word] + 0.5) / (having[word] + 0.5))
                 weights[word] = idf * n * (k1 + 1) / (n + k1 * (1 - b + b * len(words) / mean))
             whole = sum(weights.values())
             for word, weight in weights.items():
@@ -104,6 +118,7 @@ class Index:
 
     def search(self, terms: list[int], least: float) -> list[tuple[int, float]]:
         """(number, score) of all items with ``least`` or more, by block-max WAND."""
+        low = least * (1 - ROUNDING)
         cursors = [[self.numbers[t][0], 0, t] for t in terms]  # current number, place, term
         ended, out = len(self.items), []
 
@@ -119,7 +134,7 @@ class Index:
             bound, pivot = 0.0, None
             for i, cursor in enumerate(cursors):
                 bound += self.greatest[cursor[2]]
-                if bound >= least:
+                if bound >= low:
                     pivot = i
                     break
             if pivot is None:
@@ -127,7 +142,7 @@ class Index:
             number = cursors[pivot][0]
             block = number // BLOCK
             ahead = [c for c in cursors if c[0] <= number]
-            if sum(float(self.block_greatest[c[2], block]) for c in cursors if c[0] < (block + 1) * BLOCK) < least:
+            if sum(float(self.block_greatest[c[2], block]) for c in cursors if c[0] < (block + 1) * BLOCK) < low:
                 # No item of this block reaches the threshold.
                 for cursor in cursors:
                     if cursor[0] < (block + 1) * BLOCK:
@@ -143,15 +158,26 @@ class Index:
                     advance(cursor, number)
 
 
-class Searcher:
-    """Finds the items in texts."""
+class Shard:
+    """Indexes of a shard's items, one for each length class, under common terms."""
 
-    def __init__(self, index: Index, least: float, question: float, answer: float):
-        self.index, self.least, self.question, self.answer = index, least, question, answer
+    def __init__(self, items: list[tuple[int, str]], whole: tuple[int, float, dict[str, int]]):
+        classes: dict[int, list[tuple[int, str]]] = {}
+        for item, text in items:
+            classes.setdefault(length_class(len(words_of(text))), []).append((item, text))
+        self.indexes = [Index(sorted(classes[longest]), whole=whole, longest=longest) for longest in sorted(classes)]
+        self.terms = {word: i for i, word in enumerate(sorted({w for index in self.indexes for w in index.terms}))}
+        # Term of each index; the last place is that of words without a term.
+        self.own = [np.array([*(index.terms.get(w, -1) for w in self.terms), -1], np.int32) for index in self.indexes]
+
+
+class ShardSearcher:
+    """Finds the items of a shard in texts."""
+
+    def __init__(self, shard: Shard, least: float, question: float, answer: float):
+        self.shard = shard
+        self.searchers = [Searcher(index, least, question, answer) for index in shard.indexes]
         self.known: dict[str, int] = {}
-        # An item of up to half a passage stands whole in one of them.
-        self.size = max(64, 2 * index.longest)
-        self.step = self.size // 2
 
     def _terms(self, tokens: list[str]) -> np.ndarray:
         """Term of each token: -1 for other words, -2 for no word."""
@@ -163,18 +189,41 @@ class Searcher:
                 known.clear()
             for token in set(tokens).difference(known):
                 word = _word(token)
-                known[token] = self.index.terms.get(word, -1) if word else -2
+                known[token] = self.shard.terms.get(word, -1) if word else -2
             return np.fromiter(map(known.__getitem__, tokens), np.int32, len(tokens))
 
     def search(self, text: str | None) -> list[dict]:
         """The best verified passage for each item found in the text."""
-        index = self.index
-        if not text or not index.items:
+        if not text or not self.searchers:
             return []
         tokens = text.lower().split()
         terms = self._terms(tokens)
         is_word = terms > -2
         terms = terms[is_word]
+        if not (terms >= 0).any():
+            return []
+        kept: list[list[str]] = []
+
+        def words() -> list[str]:
+            if not kept:
+                kept.append([_word(t) for t, w in zip(tokens, is_word.tolist(), strict=True) if w])
+            return kept[0]
+
+        return [one for searcher, own in zip(self.searchers, self.shard.own, strict=True) for one in searcher.search(own[terms], words)]
+
+
+class Searcher:
+    """Finds the items of an index in texts."""
+
+    def __init__(self, index: Index, least: float, question: float, answer: float):
+        self.index, self.least, self.question, self.answer = index, least, question, answer
+        # An item of up to half a passage stands whole in one of them.
+        self.size = max(2 * CLASS, 2 * index.longest)
+        self.step = self.size // 2
+
+    def search(self, terms: np.ndarray, words_of_text: Callable[[], list[str]]) -> list[dict]:
+        """The best verified passage for each item found: ``terms`` of all words in order, -1 for words without one."""
+        index, low = self.index, self.least * (1 - ROUNDING)
         at = np.flatnonzero(terms >= 0)
         if not len(at):
             return []
@@ -186,16 +235,15 @@ class Searcher:
         passage, term = pairs >> 32, (pairs & 0xFFFFFFFF).astype(np.int64)
         starts = np.flatnonzero(np.diff(passage, prepend=-1))
         whole = np.add.reduceat(index.greatest[term], starts)
-        words, best = None, {}
-        for i in np.flatnonzero(whole >= self.least).tolist():
+        best = {}
+        for i in np.flatnonzero(whole >= low).tolist():
             own = term[starts[i] : starts[i + 1] if i + 1 < len(starts) else len(term)]
-            if index.block_greatest[own].sum(0).max() < self.least * (1 - 1e-5):
+            if index.block_greatest[own].sum(0).max() < low:
                 continue
             hits = index.search(own.tolist(), self.least)
             if not hits:
                 continue
-            if words is None:
-                words = [_word(t) for t, w in zip(tokens, is_word.tolist(), strict=True) if w]
+            words = words_of_text()
             start = int(passage[starts[i]]) * self.step
             here = grams(words[start : start + self.size]) | {(w,) for w in words[start : start + self.size]}
             here |= set(zip(words[start : start + self.size], words[start + 1 : start + self.size], strict=False))
@@ -207,14 +255,36 @@ class Searcher:
         return [best[n] for n in sorted(best, key=lambda n: (index.items[n], n))]
 
 
-def shards_of(items: DataFrame) -> Iterator[Index]:
-    """Indexes over all items with a text, each of bounded size."""
-    items = items.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    count = max(1, -(-n // SHARD_ITEMS), -(-chars // SHARD_CHARS))
+def _with_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        words = [words_of(text) for text in batch.column(1).to_pylist()]
+        columns = [batch.column(0), batch.column(1), pa.array(map(len, words), pa.int64()), pa.array([sorted(set(w)) for w in words], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["item_id", "text", "n", "words"])
+
+
+def shards_of(items: DataFrame, scratch: Scratch) -> Iterator[bytes]:
+    """Pickled shards, each of bounded size, of all items with a word; counts are taken over all of them."""
+    items = items.where("text IS NOT NULL AND item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = scratch.save(items.mapInArrow(_with_words, "item_id long, text string, n long, words array<string>").where("n > 0"), "items")
+    n, total, chars = items.agg(F.count("*"), F.sum("n"), F.sum(F.length("text"))).first()
+    if not n:
+        return
+    count, mean = max(-(-n // SHARD_ITEMS), -(-chars // SHARD_CHARS)), total / n
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)).cast("int"))
+    terms = items.select("shard", F.explode("words").alias("word"))
+    having = terms.groupBy("word").agg(F.count("*").alias("having"))
+    own = scratch.save(terms.distinct().join(having, "word").select("shard", "word", "having"), "terms")
+
+    def build(part: pa.Table, values: pa.Table) -> pa.Table:
+        rows = zip(part["item_id"].to_pylist(), part["text"].to_pylist(), strict=True)
+        whole = n, mean, dict(zip(values["word"].to_pylist(), values["having"].to_pylist(), strict=True))
+        return pa.table({"shard": part["shard"].slice(0, 1), "body": pa.array([pickle.dumps(Shard(list(rows), whole))], pa.binary())})
+
+    built = items.select("shard", "item_id", "text").groupBy("shard").cogroup(own.groupBy("shard")).applyInArrow(build, "shard int, body binary")
+    built = scratch.save(built, "shards")
     for shard in range(count):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == shard)
-        yield Index(sorted((row[0], row[1]) for row in part.collect() if row[0] is not None))  # bounded
+        for row in built.where(F.col("shard") == shard).collect():  # one at most, bounded
+            yield bytes(row["body"])
 
 
 def matched(docs: DataFrame, items: DataFrame, text: str = "text", matches: str = "matches", least: float = LEAST, question: float = QUESTION, answer: float = ANSWER) -> DataFrame:
@@ -224,22 +294,24 @@ def matched(docs: DataFrame, items: DataFrame, text: str = "text", matches: str
     """
     if matches in docs.columns:
         raise ValueError(f"the input already has a column named {matches}")
+    scratch = Scratch(docs.sparkSession)
     out = docs.withColumn(matches, F.array().cast(MATCH))
-    for index in shards_of(items):
-        out = _add(out, docs.sparkSession.sparkContext.broadcast(index), text, matches, (least, question, answer))
+    for shard in shards_of(items, scratch):
+        out = _add(out, docs.sparkSession.sparkContext.broadcast(shard), text, matches, (least, question, answer))
+    scratch.drop_all()
     return out
 
 
-def _add(docs: DataFrame, index, text: str, matches: str, limits: tuple[float, float, float]) -> DataFrame:
+def _add(docs: DataFrame, shard, text: str, matches: str, limits: tuple[float, float, float]) -> DataFrame:
     kind = T.StructType([*(f for f in docs.schema if f.name != matches), T.StructField(matches, T._parse_datatype_string(MATCH))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searcher = Searcher(index.value, *limits)
+        searcher = ShardSearcher(pickle.loads(shard.value), *limits)
         for batch in slices(batches, text):
             names = list(batch.schema.names)
             place = names.index(matches)
             before = batch.column(place).to_pylist()
-            found = [own + searcher.search(one) for own, one in zip(before, batch.column(names.index(text)).to_pylist(), strict=True)]
+            found = [sorted(own + searcher.search(one), key=lambda m: tuple(m.values())) for own, one in zip(before, batch.column(names.index(text)).to_pylist(), strict=True)]
             columns = list(batch.columns)
             columns[place] = pa.array(found, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=names)

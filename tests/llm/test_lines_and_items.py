@@ -110,3 +110,19 @@ def test_shards_cover_all_items(spark, monkeypatch):
         for item, own in items:
             if own and decontam.words_of(own) and own.strip() in text:
                 assert (i, item) in found
+
+
+def test_one_and_ten_shards_give_equal_rows(spark, monkeypatch):
+    items, texts = items_and_texts(6)
+    draw = random.Random(7)
+    items += [(50, " ".join(f"{draw.choice('abcdefgh')}{draw.randrange(60)}" for _ in range(300)) + ".")]  # widens no other item's passages
+    for i, text in items[:41]:  # copies with words left out, so that scores lie on both sides of the limit
+        for share in (0.6, 0.7, 0.8, 0.9):
+            texts.append(" ".join(w for w in text.split() if draw.random() < share) + " " + draw.choice(texts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    found = {}
+    for most in (1000, 5):
+        monkeypatch.setattr(decontam, "SHARD_ITEMS", most)
+        found[most] = sorted(map(tuple, decontam.leaks(docs, frame).collect()))
+    assert len(found[1000]) > 80 and found[1000] == found[5]
