@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inflecta.llm import bpe, counts, decontam, jaccard, langid, linededup, nearvec, quality, toxicity, urlfilter
+from inflecta.llm import bpe, counts, decontam, jaccard, langid, linededup, nearvec, quality, repair, sql, toxicity, urlfilter
 from inflecta.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of each conversation after its rows are damaged."""
+    return repair.reports(repair.damaged(table(spark, sf_dir, "conversations")), present="present")
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -81,5 +86,8 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op12_conversation_repair": op12_conversation_repair,
+}
+ORACLES: dict[str, str] = {
+    "op12_conversation_repair": sql.CONVERSATIONS,
 }
-ORACLES: dict[str, str] = {}
