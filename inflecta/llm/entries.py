@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inflecta.llm import bpe, counts, decontam, jaccard, langid, linededup, nearvec, quality, repair, sql, toxicity, urlfilter
+from inflecta.llm import bpe, counts, decontam, jaccard, langid, linededup, nearvec, packing, quality, repair, sql, toxicity, urlfilter
 from inflecta.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
+VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +76,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.reports(repair.damaged(table(spark, sf_dir, "conversations")), present="present")
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of each piece of each document in sequences of 1024 tokens."""
+    return packing.packed(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 ORACLES: dict[str, str] = {
     "op12_conversation_repair": sql.CONVERSATIONS,
