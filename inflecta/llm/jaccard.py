@@ -13,12 +13,14 @@ How it is found, exactly:
 * A search takes a query set and the inverted lists of its tokens over a chunk of candidates. As in DivideSkip,
   the L longest lists are set aside: the short ones are merged by a heap, candidates met T - L times or more are
   probed in the long ones by binary search, and those that reach the overlap of the pair are links.
+* A candidate pair is searched twice: in the first tokens of both, which bound the overlap from above, and, where that
+  bound reaches the overlap needed, in the whole sets. So whole sets are made and sent only of nodes with such a pair.
 * First each node is searched with one hub, the node among those it shares a token with that shares most tokens;
   what links becomes a class. Then all candidate pairs of different classes are searched, each with the node
   outside the largest class of its token as the query. Pairs inside a class need no search: the class is known.
 
 Nothing is capped: large groups of copies are one class after the hubs, whatever their size, and a query's
-candidates go in chunks over several tasks.
+candidates go in chunks of bounded tokens over several tasks (a candidate that is longer goes alone).
 
 Defined results: NULL, empty and word-less texts have an empty set, link with nothing and are their own class;
 a NULL doc_id takes part and gets the least non-NULL id of its class; repeated rows each return a row.
@@ -42,8 +44,8 @@ from inflecta.llm.components import components
 WORDS, THRESHOLD = 5, 75
 #: Cells of the count sketch and bits of a token that hold its level.
 SKETCH, LEVEL_BITS = 1 << 22, 6
-#: Candidates of one query that one task searches at a time; further ones go to further tasks.
-CHUNK = 1024
+#: Tokens of a query's candidates that one task searches at a time; further candidates go to further tasks.
+CHUNK = 1 << 20
 #: Bits of the bitmap that leaves out texts which share nothing, as a power of two.
 FILTER_BITS = 25
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -237,8 +239,8 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
 
 
-def search(query: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[int]:
-    """Places in ``sets`` of those that link with ``query``, by DivideSkip over the query's inverted lists."""
+def search(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray) -> list[int]:
+    """Places in ``sets`` of those that have ``need`` tokens (one at least) of ``query``, by DivideSkip over its inverted lists."""
     if not len(query) or not sets:
         return []
     sizes = np.array([len(s) for s in sets])
@@ -250,9 +252,9 @@ def search(query: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[in
     order = np.lexsort((owner, at))
     lists = np.split(owner[order], np.cumsum(np.bincount(at, minlength=len(query)))[:-1])
     lists.sort(key=len)
-    least = max(1, least_overlap(len(query), threshold))
+    least = max(1, int(need.min()))
     longest = len(lists[-1])
-    aside = min(least - 1, max(0, int(least / (0.01 * np.log2(longest + 2) + 1))))
+    aside = max(0, min(least - 1, len(lists) - 1, int(least / (0.01 * np.log2(longest + 2) + 1))))
     short, long = lists[: len(lists) - aside], lists[len(lists) - aside :]
     found = [(one, sum(1 for _ in same)) for one, same in groupby(heapq.merge(*(s.tolist() for s in short if len(s))))]
     found = [(one, n) for one, n in found if n >= least - aside]
@@ -264,27 +266,60 @@ def search(query: np.ndarray, sets: list[np.ndarray], threshold: int) -> list[in
         if len(one):
             place = np.minimum(np.searchsorted(one, candidates), len(one) - 1)
             overlap += one[place] == candidates
-    need = pair_overlap(len(query), sizes[candidates], threshold)
-    return candidates[overlap >= need].tolist()
+    return candidates[overlap >= need[candidates]].tolist()
 
 
-def _links(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Those of the distinct pairs (x, y) that link. Each query x meets its candidates in chunks."""
-    sizes = pairs.groupBy("x").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))
+def whole_need(query: np.ndarray, n: int, sets: list[np.ndarray], sizes: np.ndarray, threshold: int) -> np.ndarray:
+    """Overlap that each of ``sets``, whole, needs to link with ``query``, whole."""
+    return pair_overlap(n, sizes, threshold)
+
+
+def first_need(query: np.ndarray, n: int, sets: list[np.ndarray], sizes: np.ndarray, threshold: int) -> np.ndarray:
+    """Least overlap of the first tokens of ``query`` and of each of ``sets`` (of ``n`` and ``sizes`` tokens) with which they can link.
+
+    Say the query's first tokens end before the other's. What they share further on lies behind that end in both: in the
+    rest of the query, and in what the other has there, the end of its first tokens and its rest.
+    """
+    need = np.empty(len(sets), np.int64)
+    for k, (own, m) in enumerate(zip(sets, sizes.tolist(), strict=True)):
+        before, behind = ((query, n), (own, m)) if query[-1] <= own[-1] else ((own, m), (query, n))
+        beyond = len(behind[0]) - int(np.searchsorted(behind[0], before[0][-1], side="right"))
+        further = min(before[1] - len(before[0]), beyond + behind[1] - len(behind[0]))
+        need[k] = pair_overlap(n, m, threshold) - further
+    return np.maximum(need, 1)
+
+
+def _found(pairs: DataFrame, sets: DataFrame, need, threshold: int) -> DataFrame:
+    """Those of the distinct pairs (x, y, y_n) that reach ``need`` in ``sets`` (node, n, tokens). Each query x meets its candidates in chunks."""
+    sizes = pairs.groupBy("x").agg(F.ceil(F.sum("y_n") / CHUNK).alias("parts"))
     pairs = pairs.join(sizes, "x").select("x", "y", F.pmod(F.xxhash64("y"), F.col("parts")).alias("part"))
-    members = pairs.join(sets.withColumnRenamed("node", "y"), "y").select("x", "part", "y", "tokens")
+    members = pairs.join(sets.withColumnRenamed("node", "y"), "y").select("x", "part", "y", "n", "tokens")
     queries = pairs.select("x", "part").distinct().join(sets.withColumnRenamed("node", "x"), "x")
-    rows = members.unionByName(queries.select("x", "part", F.col("x").alias("y"), "tokens"))
+    rows = members.unionByName(queries.select("x", "part", F.col("x").alias("y"), "n", "tokens"))
 
     def run(group: pa.Table) -> pa.Table:
         part = group.to_pydict()
         x = part["x"][0]
-        query = next(np.frombuffer(t, np.uint64) for y, t in zip(part["y"], part["tokens"], strict=True) if y == x)
-        others = [(y, np.frombuffer(t, np.uint64)) for y, t in zip(part["y"], part["tokens"], strict=True) if y != x]
-        hit = search(query, [t for _, t in others], threshold)
-        return pa.table({"a": pa.array([x] * len(hit), pa.int64()), "b": pa.array([others[i][0] for i in hit], pa.int64())})
+        every = [(y, n, np.frombuffer(t, np.uint64)) for y, n, t in zip(part["y"], part["n"], part["tokens"], strict=True)]
+        _, n, query = next(row for row in every if row[0] == x)
+        others = [row for row in every if row[0] != x]
+        tokens, ns = [t for _, _, t in others], np.array([m for _, m, _ in others], np.int64)
+        hit = search(query, tokens, need(query, n, tokens, ns, threshold)) if others else []
+        return pa.table({"x": pa.array([x] * len(hit), pa.int64()), "y": pa.array([others[i][0] for i in hit], pa.int64()), "y_n": pa.array(ns[hit], pa.int64())})
+
+    return rows.groupBy("x", "part").applyInArrow(run, "x long, y long, y_n long")
+
 
-    return rows.groupBy("x", "part").applyInArrow(run, "a long, b long")
+def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, order, words: int, threshold: int, scratch: Scratch, name: str) -> DataFrame:
+    """(a, b): those of the distinct pairs (x, y, y_n) of nodes that link."""
+    firsts = nodes.select("node", F.col("n").cast("long").alias("n"), "tokens")
+    likely = scratch.save(_found(pairs, firsts, first_need, threshold), f"likely-{name}")
+    # Whole sets, from the texts, of the nodes that may link.
+    sets = scratch.save(_tokens_of(docs, nodes.join(_ends(likely), "node", "left_semi"), order, words, threshold), f"sets-{name}")
+    found = _found(likely, sets, whole_need, threshold).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    links = scratch.save(found, f"links-{name}")
+    scratch.drop(f"likely-{name}", f"sets-{name}")
+    return links
 
 
 def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, text: str = "text") -> DataFrame:
@@ -302,6 +337,8 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, tex
         .withColumn("node", F.monotonically_increasing_id())
     )
     nodes = scratch.save(nodes, "nodes")
+    rows = scratch.save(first.select("doc_id", "n", "digest"), "rows")
+    scratch.drop("first")
     # The tokens that a node shares with none leave less room for an overlap.
     of_node = Window.partitionBy("node")
     ranked = _shared(nodes).select(
@@ -327,14 +364,11 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, tex
         .join(_as(shared, "y", "node", "n", "room"), "token")
         .where((F.col("x") != F.col("y")) & _enough(threshold))
         .groupBy("y")
-        .agg(F.max(F.struct("x_degree", (-F.col("x")).alias("x"))).alias("h"))
-        .select((-F.col("h.x")).alias("x"), "y")
+        .agg(F.max(F.struct("x_degree", (-F.col("x")).alias("x"))).alias("h"), F.first("y_n").cast("long").alias("y_n"))
+        .select((-F.col("h.x")).alias("x"), "y", "y_n")
     )
     tried = scratch.save(tried, "tried")
-    # All tokens of the nodes to be searched, from the texts.
-    named = _ends(tried)
-    sets = scratch.save(_tokens_of(docs, nodes.join(named, "node", "left_semi"), order, words, threshold), "sets")
-    links = scratch.save(_links(tried, sets, threshold), "links-0")
+    links = _links(tried, docs, nodes, order, words, threshold, scratch, "hubs")
     label = components(links, scratch, "hubs")
 
     labelled = shared.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -347,20 +381,18 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, tex
         queries.join(_as(open_rows, "y", "node", "n", "room", "component", "largest"), "token")
         .where("x_component <> y_component AND (y_component = y_largest OR x < y)")
         .where(_enough(threshold))
-        .select("x", "y")
+        .select("x", "y", F.col("y_n").cast("long").alias("y_n"))
         .distinct()
     )
     pairs = scratch.save(pairs, "pairs")
-    others = nodes.join(_ends(pairs), "node", "left_semi").join(named, "node", "left_anti")
-    others = scratch.save(_tokens_of(docs, others, order, words, threshold), "other-sets")
-    more = scratch.save(_links(pairs, sets.unionByName(others), threshold), "links-1")
-    scratch.drop("sets", "other-sets", "pairs", "open", "shared", "tried")
+    more = _links(pairs, docs, nodes, order, words, threshold, scratch, "pairs")
+    scratch.drop("pairs", "open", "shared", "tried")
     final = components(links.unionByName(more), scratch, "all")
 
     least = nodes.join(final, "node").groupBy("component").agg(F.min("least").alias("component_id"))
     ids = nodes.select("node", "digest", "least").join(final, "node", "left").join(least, "component", "left")
     ids = ids.select("digest", F.coalesce("component_id", "least").alias("component_id"))
-    result = first.select("doc_id", "n", "digest").join(ids, "digest", "left")
+    result = rows.join(ids, "digest", "left")
     result = result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     result = scratch.keep(result)
     scratch.drop_all()
@@ -387,12 +419,12 @@ def _id_filter(ids: DataFrame):
 
 
 def _tokens_of(docs: DataFrame, wanted: DataFrame, order, words: int, threshold: int) -> DataFrame:
-    """(node, tokens) of the wanted nodes: texts of one document of each are cut into shingles again.
+    """(node, n, tokens) of the wanted nodes: texts of one document of each are cut into shingles again.
 
     A bitmap of the documents' ids leaves out nearly all other texts before they are cut; the join is exact.
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     sets = _sets(texts, order, words, threshold, "text", prefix=False, among=_id_filter(wanted.select("least")))
-    found = wanted.select("node", "digest", "least").join(sets.select("doc_id", "digest", "tokens"), "digest").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    found = wanted.select("node", "digest", "least").join(sets.select("doc_id", "digest", "n", "tokens"), "digest").where(F.col("doc_id").eqNullSafe(F.col("least")))
     # Repeated rows of a document give its set twice; the join has put them together.
-    return found.groupBy("digest").agg(F.first("node").alias("node"), F.first("tokens").alias("tokens")).select("node", "tokens")
+    return found.groupBy("digest").agg(F.first("node").alias("node"), F.first("n").alias("n"), F.first("tokens").alias("tokens")).select("node", "n", "tokens")
