@@ -172,7 +172,10 @@ def packed(rows: DataFrame, capacity: int = CAPACITY, length: str = "length", ti
         raise ValueError(f"the input has columns named like the output: {', '.join(sorted(taken))}")
     scratch = Scratch(rows.sparkSession)
     order = (length, F.xxhash64(*ties))
+    # A range shuffle reads its input twice, for bounds and for rows: what the rows are made from is read once.
+    rows = scratch.save(rows, "rows")
     ranged = scratch.save(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()), "ranged")
+    scratch.drop("rows")
     # A row for each slice, and for each length: bounded by the number of slices and the capacity.
     of_slices = ranged.groupBy(F.shiftright("_place", _ROW_BITS).alias("s")).agg(F.count("*").alias("n")).orderBy("s").collect()
     counts = {r[0]: r[1] for r in ranged.groupBy(F.col(length).cast("long")).count().collect()}
