@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from inflecta.llm import bpe, counts, decontam, jaccard, langid, linededup, nearvec, packing, quality, repair, sql, toxicity, urlfilter
+from inflecta.llm import bpe, counts, decontam, jaccard, langid, linededup, nearvec, packing, quality, repair, spelling, sql, toxicity, urlfilter
 from inflecta.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of each long word of the documents, some occurrences of which lose a letter."""
+    return spelling.grouped(spelling.vocabulary(spelling.damaged(spelling.occurrences(table(spark, sf_dir, "documents")))))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of each conversation after its rows are damaged."""
     return repair.reports(repair.damaged(table(spark, sf_dir, "conversations")), present="present")
@@ -92,9 +97,11 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
 ORACLES: dict[str, str] = {
+    "op11_spelling_variants": sql.SPELLINGS,
     "op12_conversation_repair": sql.CONVERSATIONS,
 }

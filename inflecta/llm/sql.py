@@ -4,8 +4,10 @@ from __future__ import annotations
 
 
 def crc32(text: str) -> str:
-    """crc32 of an ASCII text, bit by bit."""
-    bits = f"flatten(list_transform(string_split({text}, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    """crc32 of the UTF-8 of a text of code points below U+0100, bit by bit."""
+    points = f"list_transform(string_split({text}, ''), lambda x: unicode(x)::BIGINT)"
+    octets = f"flatten(list_transform({points}, lambda p: CASE WHEN p < 128 THEN [p] ELSE [192 + (p >> 6), 128 + (p & 63)] END))"
+    bits = f"flatten(list_transform({octets}, lambda x: [x, 0, 0, 0, 0, 0, 0, 0]))"
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295)"
 
 
@@ -77,3 +79,43 @@ SELECT b.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIG
   sha256(b.cell.lines) AS repaired_sha256
 FROM best b LEFT JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id
 """
+
+_SEARCH_LETTERS = "[A-Za-zÀ-ÿ]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Words that lack one position each: two words of one length are near if they agree without it, a word is near to one
+#: that it becomes without it.
+SPELLINGS = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, '{_UPPER}', '{_LOWER}') AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_SEARCH_LETTERS}')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY 1, 2
+), hashed AS (
+  SELECT run, times, {crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM runs
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, times FROM hashed)
+  WHERE length(word) >= 7 GROUP BY 1 HAVING sum(times) >= 2
+), holes AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words)
+), replaced AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM holes a JOIN holes b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+), removed AS (
+  SELECT DISTINCT h.word, h.n, w.word AS near, w.n AS near_n FROM holes h JOIN words w ON h.rest = w.word
+), pairs AS (
+  SELECT word, near, near_n FROM replaced
+  UNION ALL SELECT word, near, near_n FROM removed
+  UNION ALL SELECT near, word, n FROM removed
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), known AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, CASE WHEN b.near_n >= 10 * w.n THEN b.near END AS form,
+    CASE WHEN b.near_n >= 10 * w.n THEN b.near_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), chains AS (
+  SELECT word, word AS at, form AS following FROM known
+  UNION ALL
+  SELECT c.word, k.word, k.form FROM chains c JOIN known k ON c.following = k.word
+)
+SELECT k.word, k.form, c.at AS root, k.n, k.n_near, k.form_n FROM known k JOIN chains c ON c.word = k.word AND c.following IS NULL
+"""
