@@ -81,19 +81,26 @@ def parsed(spark, sf):
     return d.parsed_entries(d.entries_of_store(store))
 
 
+# Tenses without a form are stated too: an imperative of some verbs, and the present participle that no verb has here.
 @query("p2_long_rows_of_entries", with_star(
     "SELECT infinitif AS verb, voix AS voice, mode AS mood, temps AS tense, personne, conjugaison FROM conjugaisons JOIN verbes ON id = verbe_id UNION ALL "
-    "SELECT infinitif, voix, 'participe', 'passe', substr(forme, 7), participe FROM participes JOIN verbes ON id = verbe_id"
+    "SELECT infinitif, voix, 'participe', 'passe', substr(forme, 7), participe FROM participes JOIN verbes ON id = verbe_id UNION ALL "
+    "SELECT DISTINCT infinitif, voix, 'participe', 'present', NULL, NULL FROM participes JOIN verbes ON id = verbe_id UNION ALL "
+    "SELECT infinitif, 'voix_prono', 'imperatif', 'present', NULL, NULL FROM verbes WHERE rectification_1990"
 ))
 def _p2(spark, sf):
-    return d.rows_of_entries(parsed(spark, sf)).where("conjugaison IS NOT NULL")
+    verbs, rows = document_parts(spark, sf)
+    empty = verbs.where("rectification_1990").selectExpr(
+        "verb", "'voix_prono' AS voice", "'imperatif' AS mood", "'present' AS tense", "CAST(NULL AS STRING) AS personne", "CAST(NULL AS STRING) AS conjugaison"
+    )
+    store = d.store_records(d.nested_entries(verbs, rows.unionByName(empty)))
+    return d.rows_of_entries(d.parsed_entries(d.entries_of_store(store)))
 
 
-@query("k2_document_lines", with_star("SELECT infinitif AS verb, CASE WHEN infinitif = (SELECT min(infinitif) FROM verbes) THEN '{' ELSE '' END AS opens, "
-    "CASE WHEN infinitif = (SELECT max(infinitif) FROM verbes) THEN '}' ELSE ',' END AS closes FROM verbes"))
+@query("k2_document_lines", f"""SELECT verb, CASE WHEN verb = min(verb) OVER () THEN '{{' ELSE '' END || '"' || verb || '":' || entry
+    || CASE WHEN verb = max(verb) OVER () THEN '}}' ELSE ',' END AS line FROM ({entries_sql()})""")
 def _k2(spark, sf):
-    lines = sinks.document_lines(d.store_records(d.nested_entries(*document_parts(spark, sf))))
-    return lines.select("verb", F.regexp_extract("line", r"^\{?", 0).alias("opens"), F.substring("line", -1, 1).alias("closes"))
+    return sinks.document_lines(durable(d.store_records(d.nested_entries(*document_parts(spark, sf)))))
 
 
 @query("p4_verbes", with_star("SELECT row_number() OVER (ORDER BY infinitif) AS id, infinitif, h_aspire, rectification_1990, rectification_1990_variante FROM verbes"))
@@ -181,6 +188,7 @@ AUDIT_MOOD = "CASE l_linestatus WHEN 'F' THEN 'indicatif' ELSE 'imperatif' END"
 AUDIT_SQL = f"""audit_rows AS (SELECT infinitif AS verb, {VOIX} AS voice, {AUDIT_MOOD} AS mood, 'present' AS tense,
   CASE l_linenumber {NUMBERED} END AS personne, min({AUDIT_FORM}) AS conjugaison FROM lineitem JOIN verbes ON id = l_partkey GROUP BY ALL
   UNION ALL SELECT rectification_1990_variante, 'voix_passive', 'indicatif', 'present', '1sm', 'x' FROM verbes WHERE rectification_1990
+  UNION ALL SELECT infinitif, 'voix_prono', 'subjonctif', 'imparfait', NULL, NULL FROM verbes WHERE rectification_1990
   UNION ALL SELECT infinitif, voix, 'participe', 'participe', substr(forme, 7), participe FROM participes JOIN verbes ON id = verbe_id),
 audit_pages AS (SELECT DISTINCT infinitif AS verb FROM lineitem JOIN verbes ON id = l_partkey WHERE l_tax = 0.03 AND l_discount <> 0.03),
 audit_log AS (SELECT infinitif AS verb, {VOIX} AS voice, {AUDIT_MOOD} AS mood, 'present' AS tense,
@@ -189,11 +197,11 @@ audit_log AS (SELECT infinitif AS verb, {VOIX} AS voice, {AUDIT_MOOD} AS mood, '
   FROM lineitem JOIN verbes ON id = l_partkey WHERE l_tax = 0.05 AND l_discount = 0.1 GROUP BY 1, 2, 3),
 facts AS (SELECT verb, voice, mood, tense, bool_or(conjugaison LIKE '%;%') AS alternatives, min(CASE WHEN trim(conjugaison) = '' THEN
     CASE split_part(personne, ';', 1) WHEN '1sm' THEN 0 WHEN '2sm' THEN 2 WHEN '3sm' THEN 4 WHEN '3sn' THEN 6 WHEN '1pm' THEN 7 WHEN '2pm' THEN 9 ELSE 11 END END) AS blank,
-  string_agg(personne, ';') AS persons FROM audit_rows GROUP BY 1, 2, 3, 4),
+  string_agg(personne, ';') AS persons, count(personne) AS forms FROM audit_rows GROUP BY 1, 2, 3, 4),
 status AS (SELECT infinitif AS verb, coalesce(rectification_1990_variante LIKE '%î%' AND infinitif NOT LIKE '%î%', false) AS twin,
   infinitif IN (SELECT verb FROM audit_pages) OR coalesce(rectification_1990_variante IN (SELECT verb FROM audit_pages), false) AS has_page FROM twins),
 classified AS (SELECT f.verb, f.voice, f.mood, f.tense, CASE WHEN l.verb IS NOT NULL THEN 'already audited' WHEN twin THEN 'reform variant entry' WHEN NOT has_page THEN 'no cached HTML'
-  WHEN f.mood = 'participe' THEN 'participe (complex gender)' WHEN alternatives THEN 'alternative forms present'
+  WHEN f.mood = 'participe' THEN 'participe (complex gender)' WHEN forms = 0 THEN 'empty tense (defective verb)' WHEN alternatives THEN 'alternative forms present'
   WHEN blank IS NOT NULL THEN 'empty form value for ' || CASE blank WHEN 0 THEN '1sm;1sf' WHEN 2 THEN '2sm;2sf' WHEN 4 THEN '3sm;3sf' WHEN 6 THEN '3sn' WHEN 7 THEN '1pm;1pf' WHEN 9 THEN '2pm;2pf' ELSE '3pm;3pf' END
   WHEN f.mood = 'imperatif' AND NOT list_has_all(string_split(persons, ';'), ['2sm','1pm','2pm']) THEN 'missing imperative persons'
   WHEN f.mood <> 'imperatif' AND NOT list_has_all(string_split(persons, ';'), CASE WHEN persons LIKE '%3sn%' THEN ['1pm','2pm','3pm'] ELSE ['1sm','2sm','3sm','1pm','2pm','3pm'] END) THEN 'missing person keys'
@@ -221,6 +229,12 @@ def audit_tables(spark, sf):
         F.col("rectification_1990_variante").alias("verb"), F.lit("voix_passive").alias("voice"), F.lit("indicatif").alias("mood"),
         F.lit("present").alias("tense"), F.lit("1sm").alias("personne"), F.lit("x").alias("conjugaison"),
     )
+    none = F.lit(None).cast("string")
+    empty = s.verbes.where("rectification_1990").select(
+        F.col("infinitif").alias("verb"), F.lit("voix_prono").alias("voice"), F.lit("subjonctif").alias("mood"), F.lit("imparfait").alias("tense"),
+        none.alias("personne"), none.alias("conjugaison"),
+    )
+    respelled = respelled.unionByName(empty)
     simple = d.rows_of_participles(s.participes.withColumnRenamed("voix", "voice").join(names, F.col("id") == F.col("verbe_id")))
     pages = raw.where("l_tax = 0.03 AND l_discount <> 0.03").select(F.col("l_partkey").alias("id")).distinct().join(names, "id").select("verb")
     first = F.min("l_linenumber")

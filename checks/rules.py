@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from checks.pages import PAGE_TENSE, conjugation_pages, stated
 from checks.registry import new_folder, query, table, written
-from checks.star import KEYS, MODE, VOIX, conjugaisons, star, verbes, with_star
+from checks.star import CONJUGAISON, KEYS, MODE, PERSONNE, TEMPS, VOIX, atomic_lines, conjugaisons, star, verbes, with_star
 from inflecta.functions import text as t
 from inflecta.operators import audit, extract, headwords, merging, reform
 from inflecta.operators.documents import invalid_records
 from inflecta.operators import star as st
 from inflecta.operators.numbering import number_rows
 from inflecta.plans import lookups
+from inflecta.session import durable
 from inflecta.sources import files, sinks
 
 # Readers
@@ -59,19 +60,21 @@ def _s3(spark, sf):
     return files.parse_exclusions(document_lines(spark, sf))
 
 
-# A remap line for each document: its first word, repeated often, and its source; some with a star, some comments.
+# A remap line for each line of a document, whole: a colon after its first word; some with stars, some comments.
 REMAP_LINE = (
-    "CASE WHEN doc_id % 7 = 0 THEN '# note: ' ELSE '' END || substr(text, 1, 2) || ':' || source || CASE WHEN doc_id % 2 = 0 THEN '*' ELSE '' END"
+    "CASE WHEN line_no % 7 = 0 THEN '# ' ELSE '' END || substr(value, 1, instr(value || ' ', ' ') - 1) || ':' || substr(value, instr(value || ' ', ' ')) "
+    "|| CASE WHEN line_no % 2 = 0 THEN '**' ELSE '' END"
 )
 
 
 @query(
     "s4_remap_lines",
-    "SELECT trim(substr(text, 1, 2)) AS verb, arg_max(source, doc_id) AS verb_id FROM documents "
-    "WHERE doc_id % 7 <> 0 AND substr(text, 1, 2) NOT LIKE '%:%' AND substr(text, 1, 1) <> '#' AND trim(substr(text, 1, 2)) <> '' GROUP BY 1",
+    f"WITH {LINES_SQL.replace('lines AS', 'plain AS', 1)}, lines AS (SELECT line_no, {REMAP_LINE} AS value FROM plain) "
+    f"SELECT {FIRST} AS verb, arg_max(rtrim({REST}, '*'), line_no) AS verb_id FROM lines "
+    f"WHERE {TRIMMED} NOT LIKE '#%' AND {FIRST} <> '' AND rtrim({REST}, '*') <> '' GROUP BY 1",
 )
 def _s4(spark, sf):
-    return files.parse_remaps(table(spark, sf, "documents").selectExpr("doc_id AS line_no", f"{REMAP_LINE} AS value"))
+    return files.parse_remaps(document_lines(spark, sf).selectExpr("line_no", f"{REMAP_LINE} AS value"))
 
 
 @query("s11_line_counts", over_lines(f"SELECT count(*) AS lines, count_if({TRIMMED} <> '')::BIGINT AS with_text FROM lines"))
@@ -112,12 +115,12 @@ list AS (SELECT DISTINCT letter, canonical AS rank_verb, canonical AS verb, 'A8'
   UNION ALL SELECT letter, canonical, CASE WHEN hits = 1 THEN canonical ELSE canonical || '_' || n END, verb_id FROM numbered WHERE canonical NOT IN (SELECT w FROM forced))"""
 
 
-def listed_headwords(spark, sf):
+def listed_headwords(spark, sf, id_prefix=""):
     words = table(spark, sf, "benchmark").select(F.explode(F.split("text", "[ \n]")).alias("verb")).distinct()
     exclude = words.where(F.length("verb").isin(2, 3))
     remap = words.where(F.length("verb") == 4).select("verb", F.concat(F.lit("A8"), "verb").alias("verb_id"))
     hits = headwords.search_hits(listing(spark, sf)).where("verb_id <> ''")
-    return headwords.headword_list(hits, exclude, remap, id_prefix="")
+    return headwords.headword_list(hits, exclude, remap, id_prefix)
 
 
 @query("p7_w1_j6_j7_headword_list", f"WITH {ITEMS_SQL}, {WORDS_SQL} SELECT * FROM list")
@@ -125,6 +128,15 @@ def _p7(spark, sf):
     return listed_headwords(spark, sf)
 
 
+# The id filter on: a verb none of whose hits has the prefix is not listed, and a forced id does not bring it back.
+PREFIXED_SQL = WORDS_SQL.replace("AND verb_id <> '')", "AND verb_id LIKE 't%')")
+
+
+@query("t18_x21_headword_list_of_ids", f"WITH {ITEMS_SQL}, {PREFIXED_SQL} SELECT * FROM list")
+def _t18(spark, sf):
+    return listed_headwords(spark, sf, "t")
+
+
 @query("k5_headword_lines", f"WITH {ITEMS_SQL}, {WORDS_SQL} SELECT verb || ':' || verb_id AS value FROM list")
 def _k5(spark, sf):
     return sinks.headword_lines(listed_headwords(spark, sf))
@@ -229,7 +241,7 @@ ARTICLE = "regexp_extract(html, '<article>(.*?)</article>', 1, 's')"
 def _article(spark, sf):
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pages = table(spark, sf, "pages").select("page_id", "html").repartition(tasks, "page_id")
-    nodes = pages.withColumn("nodes", extract.page_nodes("html"))
+    nodes = pages.withColumn("nodes", extract.page_nodes("html", "text", "blocks"))
     article = F.get(F.filter("nodes.blocks", lambda b: b["tag"] == "article"), 0)
     blocks = nodes.select("page_id", F.col("nodes.text").alias("all_text"), article.alias("b")).where("b IS NOT NULL")
     text = t.squeeze(F.substring("all_text", F.col("b.text_start") + 1, F.col("b.text_end") - F.col("b.text_start")))
@@ -330,6 +342,32 @@ def _k1(spark, sf):
     return sinks.upsert_store(events.where("event_type = 'view'"), events.where("event_type = 'purchase'"))
 
 
+# A store of all views by user, then the purchases of one user put into it: only that user's bucket has new files.
+LAST_USER = "(SELECT CAST(max(user_id) AS VARCHAR) FROM events WHERE event_type = 'purchase')"
+
+
+@query(
+    "k1_written_buckets",
+    "SELECT verb, coalesce(bought, viewed) AS data, substr(md5(verb), 1, 2) = substr(md5(last), 1, 2) AS rewritten FROM ("
+    f"SELECT CAST(user_id AS VARCHAR) AS verb, max(props) FILTER (event_type = 'view') AS viewed, {LAST_USER} AS last, "
+    f"max(props) FILTER (event_type = 'purchase' AND CAST(user_id AS VARCHAR) = {LAST_USER}) AS bought FROM events GROUP BY 1) "
+    "WHERE viewed IS NOT NULL OR bought IS NOT NULL",
+)
+def _k1_buckets(spark, sf):
+    events = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("verb"), "user_id", F.col("props").alias("data"), "event_type")
+    path = f"{new_folder(spark)}/store"
+
+    def with_files():
+        return spark.read.schema(files.STORE_TYPE).parquet(path).select("verb", "data", F.col("_metadata.file_path").alias("file"))
+
+    sinks.write_store(sinks.upsert_store(events.where("false"), events.where("event_type = 'view'")), path)
+    before = durable(with_files().select("verb", F.col("file").alias("old")))
+    bought = events.where("event_type = 'purchase'")
+    sinks.upsert_into(spark, path, bought.where(F.col("user_id") == bought.agg(F.max("user_id")).scalar()))
+    rewritten = ~F.coalesce(F.col("file") == F.col("old"), F.lit(False))
+    return with_files().join(before, "verb", "left").select("verb", "data", rewritten.alias("rewritten"))
+
+
 @query("s7_stored_records", "SELECT CAST(user_id AS VARCHAR) AS verb, max(props) AS data FROM events GROUP BY 1")
 def _s7(spark, sf):
     events = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("verb"), F.col("props").alias("data"))
@@ -340,7 +378,7 @@ def _s7(spark, sf):
 def _s10(spark, sf):
     path = new_folder(spark)
     st.write_star(star(spark, sf), path)
-    st.read_star(spark, path)
+    st.read_star(spark, path).register()
     return spark.sql("SELECT voix, mode, count(DISTINCT infinitif) AS verbs FROM conjugaisons JOIN verbes ON verbes.id = verbe_id GROUP BY 1, 2")
 
 
@@ -351,6 +389,29 @@ def _k4(spark, sf):
     return lookups.forms_per_mood(st.read_star(spark, path))
 
 
+# A star whose forms are not merged and whose verbs are not all there is refused, and the one before it stays.
+@query(
+    "k4_refused_star",
+    with_star(
+        "SELECT 'conjugaisons' AS relation, 'unique key' AS rule, concat_ws('|', verbe_id, voix, mode, temps, personne) AS key, count(*) AS n FROM raw GROUP BY verbe_id, voix, mode, temps, personne HAVING count(*) > 1 "
+        "UNION ALL SELECT 'conjugaisons', 'reference', CAST(verbe_id AS VARCHAR), count(*) FROM raw WHERE verbe_id NOT IN (SELECT id FROM verbes WHERE NOT rectification_1990) GROUP BY verbe_id "
+        "UNION ALL SELECT 'participes', 'reference', CAST(verbe_id AS VARCHAR), count(*) FROM participes WHERE verbe_id NOT IN (SELECT id FROM verbes WHERE NOT rectification_1990) GROUP BY verbe_id "
+        "UNION ALL SELECT 'the star before', 'kept', mode, count(*) FROM conjugaisons GROUP BY mode",
+        f"raw AS (SELECT DISTINCT l_partkey AS verbe_id, {VOIX} AS voix, {MODE} AS mode, {TEMPS} AS temps, {PERSONNE} AS personne, {CONJUGAISON} AS conjugaison FROM lineitem)",
+    ),
+)
+def _k4_refused(spark, sf):
+    path, whole = new_folder(spark), star(spark, sf)
+    st.write_star(whole, path)
+    raw = atomic_lines(spark, sf).distinct().select(*KEYS, F.col("person").alias("personne"), F.col("form").alias("conjugaison"))
+    try:
+        st.write_star(lookups.Star(whole.verbes.where("NOT rectification_1990"), raw, whole.participes), path)
+    except st.StarRefused as refused:
+        found = spark.read.parquet(refused.violations)
+    kept = lookups.forms_per_mood(st.read_star(spark, path))
+    return found.unionByName(kept.select(F.lit("the star before").alias("relation"), F.lit("kept").alias("rule"), F.col("mode").alias("key"), F.col("conjugation_count").alias("n")))
+
+
 # Joins
 
 

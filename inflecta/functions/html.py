@@ -1,16 +1,20 @@
 """Tokenising of HTML pages: the one function that runs in Python.
 
 It reports where things are (blocks, table lines, list items, offsets) and decides nothing; every
-rule on what they mean is a Spark expression over its result.
+rule on what they mean is a Spark expression over its result. A caller names the parts it reads, and
+only these are kept track of, built and sent back.
 """
 
 from __future__ import annotations
 
+import re
 import sys
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,10 +48,16 @@ _TENSE = pa.struct(
     + _SPAN
     + [("headings", pa.list_(_HEADING)), ("first_aux", pa.string()), ("lines", pa.list_(_LINE))]
 )
+_TITLED = pa.struct([field for field in _TENSE if field.name not in ("first_aux", "lines")])
 _ITEM = pa.struct([("href", pa.string()), ("text", pa.string()), ("within", _STRINGS)])
-NODES = pa.struct(
-    [("text", pa.string()), ("blocks", pa.list_(_BLOCK)), ("tenses", pa.list_(_TENSE)), ("items", pa.list_(_ITEM))]
-)
+#: What a page has: its text, its blocks, its tense blocks whole or with their headings only, its list items.
+PARTS = {
+    "text": pa.string(),
+    "blocks": pa.list_(_BLOCK),
+    "tenses": pa.list_(_TENSE),
+    "headings": pa.list_(_TITLED),
+    "items": pa.list_(_ITEM),
+}
 
 
 def _spark_type(arrow: pa.DataType) -> T.DataType:
@@ -58,17 +68,35 @@ def _spark_type(arrow: pa.DataType) -> T.DataType:
     return {pa.string(): T.StringType(), pa.int32(): T.IntegerType(), pa.bool_(): T.BooleanType()}[arrow]
 
 
+# Plain markup: what the standard parser reads as the same events, without its tolerance for anything else.
+_SPACE = r"[ \t\n\r\f]"
+_ATTRIBUTE = rf"""{_SPACE}+([a-zA-Z][-a-zA-Z0-9_:]*)=(?:"([^"<>&]*)"|'([^'<>&]*)')"""
+_ATTRIBUTES = re.compile(_ATTRIBUTE)
+_INSIDE = f"((?:{re.sub('[(](?![?])', '(?:', _ATTRIBUTE)})*){_SPACE}*"
+# Elements whose content is not read as tags: the first three are plain up to their first end tag, others are not.
+_RAW = "script|style|title"
+_NAME = rf"(?!(?:{_RAW}|textarea|xmp|iframe|noembed|noframes|noscript|plaintext|svg|math)\b)([a-zA-Z][a-zA-Z0-9]*)"
+_PLAIN = re.compile(
+    rf"<(?:!--(?:[^-<>]|-(?!-))*--|({_RAW}){_INSIDE}>(.*?)</\1{_SPACE}*|/{_NAME}{_SPACE}*|{_NAME}{_INSIDE}(/?))>", re.IGNORECASE | re.DOTALL
+)
+_DOCTYPE = re.compile(r"<!DOCTYPE [a-zA-Z]+>", re.IGNORECASE)
+
+
 class _Walker(HTMLParser):
-    """Collects nodes of one page while keeping a stack of open elements."""
+    """Collects the wanted parts of one page while keeping a stack of open elements.
+
+    A page of plain markup only is cut by one pattern; any other goes through the standard parser.
+    """
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, parts: frozenset[str], plain: bool = True):
         super().__init__(convert_charrefs=True)
         self.html = html
-        self.line_starts = [0]
-        at = html.find("\n")
-        while at >= 0:
-            self.line_starts.append(at + 1)
-            at = html.find("\n", at + 1)
+        self.lined, self.listed = "tenses" in parts, "items" in parts
+        self.titled = self.lined or "headings" in parts
+        self.placed = self.titled or "blocks" in parts
+        self.worded = self.titled or "text" in parts
+        self.parts = parts
+        self.at: int | None = None  # where plain markup starts
         self.stack: list[dict] = []
         self.open: dict[str, list[dict]] = {kind: [] for kind in ("block", "tense", "line", "cell", "item")}
         self.skipped = 0
@@ -78,26 +106,77 @@ class _Walker(HTMLParser):
         self.blocks: list[dict] = []
         self.tenses: list[dict] = []
         self.items: list[dict] = []
-        self.feed(html)
-        self.close()
+        if not (plain and self._read_plain()):
+            self.line_starts = [0, *(at.end() for at in re.finditer("\n", html))] if self.placed else []
+            self.feed(html)
+            self.close()
         self._close_down_to(0, len(html))
 
+    def _read_plain(self) -> bool:
+        """Whether all markup of the page is plain; if so, it has been read."""
+        html = self.html
+        start = _DOCTYPE.match(html)
+        tags = list(_PLAIN.finditer(html))
+        contents = [(tag[1].lower(), tag[3]) for tag in tags if tag[1]]
+        if any("<" in content and (name == "title" or "<!--" in content or f"</{name}" in content.lower()) for name, content in contents):
+            return False
+        if len(tags) + (start is not None) + sum(1 + content.count("<") for _, content in contents) != html.count("<"):
+            return False
+        end = start.end() if start else 0
+        if "&" in html[tags[-1].end() if tags else end :]:
+            return False
+        for tag in tags:
+            self.at = tag.start()
+            if end < self.at:
+                self.handle_data(unescape(html[end : self.at]))
+            end = tag.end()
+            raw, raw_attributes, content, closed, opened, attributes, empty = tag.groups()
+            if opened:
+                (self.handle_startendtag if empty else self.handle_starttag)(opened.lower(), self._attributes(attributes))
+            elif closed:
+                self.handle_endtag(closed.lower())
+            elif raw:
+                raw = raw.lower()
+                self.handle_starttag(raw, self._attributes(raw_attributes))
+                if content:
+                    self.handle_data(unescape(content) if raw == "title" else content)
+                self.at = html.rindex("</", self.at, end)
+                self.handle_endtag(raw)
+        if end < len(html):
+            self.handle_data(html[end:])
+        return True
+
+    @staticmethod
+    def _attributes(text: str) -> list[tuple[str, str]]:
+        return [(name.lower(), one or other) for name, one, other in _ATTRIBUTES.findall(text)] if text else []
+
     def nodes(self) -> dict:
         text = "".join(self.pieces)
         for item in self.items:
             item["text"] = " ".join(piece for piece in (p.strip() for p in item.pop("pieces")) if piece)
         for tense in self.tenses:
+            # A block within another shares its headings and lines with it.
             for heading in tense["headings"]:
-                heading["text"] = text[slice(*heading.pop("span"))]
+                if "span" in heading:
+                    heading["text"] = text[slice(*heading.pop("span"))]
+            if not self.lined:
+                continue
             tense["first_aux"] = None if tense["aux_span"] is None else text[slice(*tense["aux_span"])]
             for line in tense["lines"]:
+                if "spans" not in line:
+                    continue
                 for name, span in line.pop("spans").items():
                     line[name] = text[slice(*span)]
                 line["main"] = None if line["main"] is None else "".join(line["main"])
                 line["rectifs"] = [text[slice(*span)] for span in line["rectifs"]]
-        return {"text": text, "blocks": self.blocks, "tenses": self.tenses, "items": self.items}
+        found = {"text": text, "blocks": self.blocks, "tenses": self.tenses, "headings": self.tenses, "items": self.items}
+        return {part: found[part] for part in self.parts}
 
     def _offset(self) -> int:
+        if not self.placed:
+            return 0
+        if self.at is not None:
+            return self.at
         line, column = self.getpos()
         return self.line_starts[line - 1] + column
 
@@ -119,16 +198,18 @@ class _Walker(HTMLParser):
         values = dict(attrs)
         element = {"tag": tag, "id": values.get("id"), "classes": (values.get("class") or "").split(), "at": self.length}
         if tag in ("div", "article"):
-            self._open_block(element)
+            if self.placed:
+                self._open_block(element)
         elif tag == "li":
-            item = {"href": None, "first": True, "pieces": [], "within": self._path()}
-            self.items.append(item)
-            self._enter(element, "item", item)
+            if self.listed:
+                item = {"href": None, "first": True, "pieces": [], "within": self._path()}
+                self.items.append(item)
+                self._enter(element, "item", item)
         elif tag == "a":
             for item in self.open["item"]:
                 if item["first"]:
                     item["first"], item["href"] = False, values.get("href") or None
-        else:
+        elif self.titled:
             self._open_table_part(element)
         self.stack.append(element)
 
@@ -142,13 +223,14 @@ class _Walker(HTMLParser):
             if self.stack[depth]["tag"] == tag:
                 start = self._offset()
                 self._close_down_to(depth + 1, start)
-                self._close_down_to(depth, self.html.find(">", start) + 1)
+                self._close_down_to(depth, self.html.find(">", start) + 1 if self.placed else 0)
                 return
 
     def handle_data(self, data):
         if self.stack and self.stack[-1]["tag"] in ("script", "style"):
             return
-        self.pieces.append(data)
+        if self.worded:
+            self.pieces.append(data)
         self.length += len(data)
         for item in self.open["item"]:
             item["pieces"].append(data)
@@ -178,7 +260,7 @@ class _Walker(HTMLParser):
         self.count += 1
         self.blocks.append(block)
         self._enter(element, "block", block)
-        if "tense" in element["classes"]:
+        if self.titled and "tense" in element["classes"]:
             tense = {
                 "ord": block["ord"], "anc": block["anc"], "start": block["start"],
                 "headings": [], "lines": [], "tables": 0, "aux_span": None,
@@ -191,16 +273,18 @@ class _Walker(HTMLParser):
         tenses, lines = self.open["tense"], self.open["line"]
         if not tenses:
             return
-        if tag == "table":
+        if tag == "h4":
+            element["heading"] = {"relation": "relation" in classes}
+            for tense in tenses:
+                tense["headings"].append(element["heading"])
+        elif not self.lined:
+            return
+        elif tag == "table":
             for tense in tenses:
                 tense["tables"] += 1
                 element.setdefault("first_of", [])
                 if tense["tables"] == 1:
                     element["first_of"].append(tense)
-        elif tag == "h4":
-            element["heading"] = {"relation": "relation" in classes}
-            for tense in tenses:
-                tense["headings"].append(element["heading"])
         elif tag == "tr" and "conj_line" in classes:
             line = {"main": None, "has_or": False, "rectifs": [], "spans": {}}
             self._enter(element, "line", line)
@@ -264,19 +348,25 @@ class _Walker(HTMLParser):
                 tense["aux_span"] = span
 
 
-def _walk(html: str | None) -> dict | None:
+def _walk(html: str | None, parts: frozenset[str]) -> dict | None:
     if html is None:
         return None
     try:
-        return _Walker(html).nodes()
+        return _Walker(html, parts).nodes()
     except (AssertionError, ValueError, IndexError):  # what the standard parser raises on malformed declarations
         return None
 
 
-@F.arrow_udf(_spark_type(NODES))
-def _page_nodes(html: pa.Array) -> pa.Array:
-    return pa.array([_walk(page) for page in html.to_pylist()], type=NODES)
+def page_nodes(html: str | Column, *parts: str) -> Column:
+    """A struct of the named ``PARTS`` of each page, NULL for a malformed one."""
+    kind = pa.struct([(part, arrow) for part, arrow in PARTS.items() if part in parts])
+    wanted = frozenset(parts)
+    if not wanted or wanted - PARTS.keys():
+        raise ValueError(f"parts are {', '.join(PARTS)}")
 
+    @F.arrow_udf(_spark_type(kind))
+    def nodes(pages: pa.Array) -> pa.Array:
+        return pa.array([_walk(page, wanted) for page in pages.to_pylist()], type=kind)
 
-# Marked non-deterministic so that the optimizer never evaluates it twice for one page.
-page_nodes = _page_nodes.asNondeterministic()
+    # Marked non-deterministic so that the optimizer never evaluates it twice for one page.
+    return nodes.asNondeterministic()(html)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inflecta.dims import PERSON_LABELS, literal_map
@@ -18,6 +20,15 @@ WHITESPACE = (
 _SPACE = f"[{WHITESPACE}]"
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` reads it, also within its lambdas.
+
+    A column that a lambda reads once in its text is inlined there by the optimizer and evaluated for each
+    element; a lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Trim Unicode whitespace on both sides."""
     return F.trim(text, F.lit(WHITESPACE))
@@ -98,3 +109,26 @@ def person_label(personne: Column) -> Column:
 def unit_key(*parts: Column) -> Column:
     """Key of a review unit."""
     return F.concat_ws("|", *parts)
+
+
+#: 64-bit words of the bitmap of ``key_filter``: 2 ** 20 bits, 128 kB, whatever the number of keys.
+FILTER_WORDS = 1 << 14
+
+
+def key_filter(keys: DataFrame, name: str) -> Callable[[Column], Column]:
+    """A test of fixed size whether a value may be among ``keys[name]``: never false for one that is, rarely true for others.
+
+    A bit for each hash of a key, as one array that a scalar subquery brings to the scan.
+    """
+    bits = FILTER_WORDS * 64
+    cell = F.pmod(F.xxhash64(name), F.lit(bits))
+    marked = keys.where(F.col(name).isNotNull()).select((cell / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (cell % 64).cast("int")).alias("bit"))
+    none = keys.sparkSession.range(FILTER_WORDS).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bit"))
+    words = marked.unionByName(none).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    bitmap = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("bitmap")).scalar()
+
+    def test(value: Column) -> Column:
+        at = F.pmod(F.xxhash64(value), F.lit(bits))
+        return F.call_function("shiftright", F.get(bitmap, (at / 64).cast("int")), (at % 64).cast("int")).bitwiseAND(1) == 1
+
+    return test

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from inflecta import dims
 from inflecta.functions.html import page_nodes
-from inflecta.functions.text import REFORM_FROM, strip
+from inflecta.functions.text import REFORM_FROM, key_filter, strip
 from inflecta.operators.merging import latest_per_key
 
 UNIT = ["verb", "voice", "mood", "tense"]
@@ -83,6 +83,7 @@ def classify_units(verbs: DataFrame, rows: DataFrame, pages: DataFrame, log: Dat
     audited = log.select(*UNIT, F.lit(True).alias("audited")).distinct()
     facts = unit_facts(rows).join(status, "verb", "left").join(audited, UNIT, "left")
     finite_missing = F.when(F.array_contains("persons", "3sn"), _missing(dims.NEUTRAL_PERSONS)).otherwise(_missing(dims.FULL_PERSONS))
+    # The reasons, in the order in which they are tested.
     reason = (
         F.when(F.col("audited").isNotNull(), "already audited")
         .when(F.col("twin"), "reform variant entry")
@@ -170,12 +171,14 @@ def participle_keys(rows: DataFrame) -> DataFrame:
 def evidence(units_: DataFrame, verbs: DataFrame, pages: DataFrame) -> DataFrame:
     """Units with ``block``, the part of the source page that states them; NULL if there is none.
 
-    Each page is parsed once and its blocks are cut out on its own row; only these are shuffled, never a page.
+    Only pages that a unit wants are parsed: a filter of fixed size (``text.key_filter``) leaves out the others where
+    they are read, so no page is shuffled or joined. Each page's blocks are cut out on its own row.
     """
     served = page_availability(verbs, pages).select("verb", "page_verb")
     unit = ["voice", "mood", "tense"]
     wanted = units_.join(served, "verb").select("verb", "page_verb", *unit).distinct().withColumn("key", F.concat_ws("|", *unit))
-    parsed = pages.select(F.col("verb").alias("page_verb"), "html").withColumn("nodes", page_nodes("html"))
+    wanted_pages = pages.select(F.col("verb").alias("page_verb"), "html").where(key_filter(wanted, "page_verb")(F.col("page_verb")))
+    parsed = wanted_pages.withColumn("nodes", page_nodes("html", "blocks", "headings"))
     parsed = parsed.withColumn("divs", F.filter("nodes.blocks", lambda b: b["tag"] == "div"))
 
     def first_with_id(div_id: str) -> Column:
@@ -216,7 +219,7 @@ def evidence(units_: DataFrame, verbs: DataFrame, pages: DataFrame) -> DataFrame
     tense_of = dims.literal_map(dims.TENSE_OF_TITLE)
 
     def tenses(m: Column) -> Column:
-        found = F.filter("nodes.tenses", lambda n: F.array_contains(n["anc"], m["ord"]))
+        found = F.filter("nodes.headings", lambda n: F.array_contains(n["anc"], m["ord"]))
         return F.transform(found, lambda n: part(m, tense_of[_title(n)], n))
 
     def _title(n: Column) -> Column:

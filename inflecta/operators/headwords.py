@@ -19,7 +19,7 @@ def listing_items(pages: DataFrame, within: list[str] = LISTING, html: str = "ht
     """Items (href, display) of lists that lie within all of ``within``; items without a link are dropped."""
     keys = [c for c in pages.columns if c != html]
     inside = F.filter(
-        page_nodes(html)["items"],
+        page_nodes(html, "items")["items"],
         lambda i: i["href"].isNotNull() & (F.size(F.array_intersect(i["within"], F.array(*[F.lit(w) for w in within]))) == len(within)),
     )
     rows = pages.select(*keys, F.explode(inside).alias("i"))

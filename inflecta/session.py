@@ -1,7 +1,9 @@
-"""Session settings and the one way this library cuts lineage."""
+"""Session settings, the one way this library cuts lineage, and small files beside its tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,3 +52,41 @@ def durable(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def _place(spark: SparkSession, path: str):
+    """``path`` and its file system, as Spark's readers and writers see them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder; one that is not there is no error."""
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text in place of a file at once: readers see the old text or the new one."""
+    fresh, files = _place(spark, f"{path}.{uuid.uuid4().hex}")
+    out = files.create(fresh)
+    out.write(bytearray(text.encode()))
+    out.close()
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    context.rename(files.makeQualified(fresh), files.makeQualified(jvm.org.apache.hadoop.fs.Path(path)), how)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file, empty if there is none."""
+    place, files = _place(spark, path)
+    if not files.exists(place):
+        return ""
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

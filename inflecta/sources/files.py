@@ -11,6 +11,8 @@ LOG_TYPE = (
     "verb string, voice string, mood string, tense string, status string, auditor string, ts string, "
     "flags array<struct<person:string,note:string>>, note string"
 )
+#: Buckets are names, not numbers: the type keeps their leading zeros.
+STORE_TYPE = "verb string, data string, bucket string"
 SEARCH_TYPE = "struct<result:array<struct<nature:string,label:string,url:string>>>"
 
 
@@ -91,7 +93,12 @@ def resolve_entries(candidates: DataFrame) -> DataFrame:
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """Stored records (verb, data) in order of the verb."""
-    return spark.read.parquet(path).orderBy("verb")
+    return stored_records(spark, path).orderBy("verb")
+
+
+def stored_records(spark: SparkSession, path: str) -> DataFrame:
+    """Stored records (verb, data), of a store in buckets or of one table."""
+    return spark.read.schema(STORE_TYPE).parquet(path).select("verb", "data")
 
 
 def parse_document(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inflecta.functions.text import unit_key
 from inflecta.operators.merging import latest_per_key
+from inflecta.session import durable
+from inflecta.sources.files import STORE_TYPE
 
 
 def upsert_store(store: DataFrame, new: DataFrame) -> DataFrame:
@@ -18,6 +20,41 @@ def upsert_store(store: DataFrame, new: DataFrame) -> DataFrame:
     return latest_per_key(aged, ["verb"], "age", "data").select("verb", "data")
 
 
+#: Hex digits of a verb's md5 that name its bucket: 256 buckets.
+BUCKET_DIGITS = 2
+
+
+def bucket_of(verb: Column) -> Column:
+    """The part of a stored table that holds a verb."""
+    return F.substring(F.md5(verb), 1, BUCKET_DIGITS)
+
+
+def _by_bucket(records: DataFrame) -> DataFrame:
+    placed = records.select("verb", "data", bucket_of(F.col("verb")).alias("bucket"))
+    return placed.repartition("bucket").sortWithinPartitions("bucket", "verb")
+
+
+def write_store(records: DataFrame, path: str) -> None:
+    """Write a store from scratch, one folder for each bucket."""
+    _by_bucket(records).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def upsert_into(spark: SparkSession, path: str, new: DataFrame) -> list[str]:
+    """Put ``new`` records (verb, data) into the store at ``path``; the buckets that were written, others are not touched.
+
+    The buckets of the new records are read, merged and saved, then put in place of the old ones by one
+    job, which Spark commits at its end. Where that commit is cut off, the same call mends it.
+    """
+    new = durable(new.select("verb", "data"))
+    # At most 16 ** BUCKET_DIGITS rows.
+    touched = sorted(r[0] for r in new.select(bucket_of(F.col("verb"))).distinct().collect())
+    if touched:
+        old = spark.read.schema(STORE_TYPE).parquet(path).where(F.col("bucket").isin(touched))
+        merged = durable(upsert_store(old, new))
+        _by_bucket(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return touched
+
+
 def document_lines(store: DataFrame) -> DataFrame:
     """(verb, line): lines that, one below the other in order of the verb, are one JSON document.
 

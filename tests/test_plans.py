@@ -1,6 +1,11 @@
 """What the plans must show: filters at the scan, no shuffle where none is needed."""
 
+from pyspark.sql import functions as F
+
+from inflecta.functions.text import key_filter
+from inflecta.operators import audit
 from inflecta.operators import extract as x
+from inflecta.operators.merging import merge_identical
 from inflecta.operators.star import read_star, write_star
 from inflecta.plans import lookups as q
 from tests.pages import line, mood, page, tense, voice
@@ -42,3 +47,39 @@ def test_forms_of_pages_need_no_shuffle(spark):
     forms = x.page_forms(x.extract_pages(pages))
     assert "Exchange" not in forms._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.personne for r in forms.collect()) == ["1sm;1sf", "2sm;2sf"]
+
+
+def test_candidates_of_a_tense_are_evaluated_once(spark):
+    html = page("A9X", voice("voix_active_avoir", mood("active_ind", tense("Présent", line("parle", "je ")))))
+    pages = spark.createDataFrame([("parler", "A9X", html)], "verb string, verb_id string, html string")
+    plan = x.page_forms(x.extract_pages(pages))._jdf.queryExecution().optimizedPlan().toString()
+    # Each person looks through a lambda variable, not through the expression that makes the candidates.
+    assert plan.count("array_max(transform(filter(lambda ") == plan.count("array_max(") == 1
+
+
+def test_persons_are_merged_without_sorting_slots(spark):
+    rows = spark.createDataFrame([(1, "1sm", "a")], "k long, person string, form string")
+    plan = plan_of(merge_identical(rows, ["k"]))
+    assert "SortAggregate" not in plan and "partial_bit_or" in plan
+
+
+def test_only_wanted_pages_are_parsed(spark):
+    html = page("A9X", voice("voix_passive", mood("passive_ind", tense("Présent", line("vu", "je ")))))
+    pages = spark.createDataFrame([(f"v{i}", html) for i in range(400)], "verb string, html string")
+    verbs = spark.createDataFrame([("v7", None), ("twin", "v8"), ("none", None)], "verb string, rectification_1990_variante string")
+    units = spark.createDataFrame([(v, "voix_passive", "indicatif", "present") for v in ("v7", "twin", "none")], "verb string, voice string, mood string, tense string")
+    found = audit.evidence(units, verbs, pages)
+    assert sorted((r.verb, r.page_verb, r.block is None) for r in found.collect()) == [("none", None, True), ("twin", "v8", False), ("v7", "v7", False)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # The filter stands below the tokeniser, and no join does.
+    below = plan[plan.index("ArrowEvalPython") :] if "ArrowEvalPython" in plan else plan[plan.index("EvalPython") :]
+    assert "Filter" in below.split("Join")[0]
+
+
+def test_key_filter_keeps_every_key(spark):
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(3000)] + [(None,)], "key string")
+    many = spark.range(200000).selectExpr("concat('k', id) AS key")
+    kept = many.where(key_filter(keys, "key")(F.col("key")))
+    assert kept.join(keys, "key", "left_semi").count() == 3000
+    assert kept.count() < 3000 + 1500
+    assert many.where(key_filter(keys.where("false"), "key")(F.col("key"))).count() == 0
