@@ -52,7 +52,7 @@ def test_stages(spark):
 
 def test_registered(spark):
     names = [n for n in contract.queries() if n.startswith("op") and n[2].isdigit()] + ["pipeline"]
-    assert len(names) == 11
+    assert len(names) == 14
     con = duckdb.connect()
     (n,) = con.execute(f"SELECT count(*) FROM '{SF_DIR}/documents.parquet'").fetchone()
     for name in names:
