@@ -10,6 +10,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inflecta.session import checkpoint_folder
+
 #: Texts are worked on in slices of so many rows or bytes, whichever comes first (one row at least).
 SLICE_ROWS, SLICE_BYTES = 256, 4 << 20
 
@@ -19,11 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; set here, beside the warehouse, only where unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-intermediate"
-    return folder.rstrip("/")
+    """The folder all executors share: ``spark.checkpoint.dir``; unset, it is refused but in a local session."""
+    return checkpoint_folder(spark).rstrip("/")
 
 
 class Scratch:
@@ -79,6 +78,13 @@ def slices(
             yield batch.slice(start)
 
 
+def refuse(columns: Iterable[str], *names: str) -> None:
+    """Refuse an input that has a column of one of the output ``names``; Spark does not tell upper from lower case."""
+    taken = {c.lower() for c in columns} & {n.lower() for n in names}
+    if taken:
+        raise ValueError(f"the input already has columns named {sorted(taken)}")
+
+
 def fold_of(doc_id: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % folds
@@ -90,15 +96,22 @@ def labelled_sample(
     """(doc_id, text, label) of a bounded sample: ``per_class`` labelled documents of each class 0 and 1.
 
     They are those of least hash outside the held-out fold (remainder 0), after the first ``skip``; the same in
-    every run. They are chosen from the labels alone, so no text is shuffled: at most ``2 * per_class`` ids are
-    broadcast. A document with several labels has the greatest.
+    every run. They are chosen from the labels alone: at most ``2 * per_class`` ids are broadcast, and of the rows of
+    one id the greatest text counts, so the sample has at most ``2 * per_class`` rows, whatever repeats.
+    A document with several labels has the greatest.
     """
     ranked = training_labels(labels, label, folds).select(label, "doc_id", F.xxhash64("doc_id").alias("_h"))
     chosen = None
     for one in (0, 1):
         top = ranked.where(F.col(label) == one).orderBy("_h", "doc_id").offset(skip).limit(per_class)
         chosen = top if chosen is None else chosen.unionByName(top)
-    return docs.select("doc_id", text).join(F.broadcast(chosen.drop("_h")), "doc_id")
+    rows = docs.select("doc_id", text).join(F.broadcast(chosen.drop("_h")), "doc_id")
+    return spread(rows.groupBy("doc_id", label).agg(F.max(text).alias(text)).select("doc_id", text, label))
+
+
+def spread(sample: DataFrame) -> DataFrame:
+    """The rows of a bounded sample, dealt over as many tasks as run at once: they are few bytes, but much work."""
+    return sample.repartition(min(64, sample.sparkSession.sparkContext.defaultParallelism), "doc_id")
 
 
 def training_labels(labels: DataFrame, label: str, folds: int = 5) -> DataFrame:

@@ -1,17 +1,24 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over characters and words, in numpy.
 
 A word's vector joins a hashed word embedding with what the same kind of network (bidirectional GRU and attention)
-makes of its characters, so unseen words are judged by how they are built. A second one reads windows of ``WINDOW``
-words that overlap by half; a document's score is that of its highest window, calibrated over whole documents.
+makes of its characters, so unseen words are judged by how they are built. A second one reads the words, and its
+attention pools their states over every window of ``WINDOW`` words, one for each start; a document's score is that
+of its highest window, calibrated over whole documents. The reading that gives a word its state starts a half
+window before the half window that the word stands in (counted from the start of the text), in both directions:
+a state depends on 8 to 15 words on each side, as far as the text goes, whatever windows it is pooled in. A text of
+``WINDOW`` words or fewer is one window, read from end to end.
 
 Labels mark documents, not windows. The model is fitted on bounded samples of labelled rows, the same in every run:
 over ``COUNTED`` rows of each class, counts of words and of their character pieces tell which windows of a toxic
-document are likely the reason; ``PER_CLASS`` of them give a few windows each for training: the likeliest, and for
-clean documents also some by hash; as many others calibrate. In training the window of a toxic document that the
-model itself finds highest counts. Scoring covers every window of every text.
+document are likely the reason; ``PER_CLASS`` of them give a few windows each for training (of those that overlap by half): the
+likeliest, and for clean documents also some by hash. In training the window of a toxic document that the
+model itself finds highest counts. A fixed fold of the labelled documents never trains and only calibrates, at every
+size, at most ``PER_CLASS`` of each class; without both classes in it the logit stays as it is. Calibration and
+scoring cover every window of every text.
 
 Defined results: NULL, empty and word-less texts have one empty window and get the score of that; without labelled
-rows of both classes every score is the share of label 1, or 0 without any; repeated rows are scored each.
+rows of both classes every score is the share of label 1, or 0 without any; repeated rows are scored each. A very long text
+is read whole, in blocks of windows; two numbers a word are held. A clash with an output name, in any case, is refused.
 """
 
 from __future__ import annotations
@@ -24,11 +31,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from inflecta.llm.common import class_sizes, fold_of, labelled_sample, slices
+from inflecta.llm.common import class_sizes, fold_of, labelled_sample, refuse, slices
 from inflecta.llm.quality import calibrate
 
-WINDOW, STRIDE = 16, 8
+WINDOW, HALF = 16, 8
 #: Longest run of word characters read as one word; a longer one is read as several.
 LONGEST = 24
 CHARS, CHAR_SIZE, CHAR_HIDDEN = 128, 8, 8
@@ -46,10 +54,10 @@ def words_of(text: str | None) -> list[str]:
 
 
 def windows_of(n: int) -> list[tuple[int, int]]:
-    """Start and end of all overlapping windows over ``n`` words; one empty window where there is none."""
+    """Start and end of the windows over ``n`` words that training chooses from; one empty window where there is none."""
     if n <= WINDOW:
         return [(0, n)]
-    starts = [*range(0, n - WINDOW, STRIDE), n - WINDOW]
+    starts = [*range(0, n - WINDOW, HALF), n - WINDOW]
     return [(s, s + WINDOW) for s in starts]
 
 
@@ -101,6 +109,29 @@ class Reader:
         pooled = np.einsum("nt,nth->nh", share, outs)
         return (pooled, (steps, outs, u, share)) if keep else pooled
 
+    def around(self, known: np.ndarray, halves: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """States (n, HALF, 2 * hidden) of elements given as rows of ``known`` gates, 0 where there is none.
+
+        Read forward from the start of ``before``, backward from the end of ``after``.
+        """
+        size = self.hidden
+        U = self.params[f"{self.name}.U"]
+        gates = known[:, : 3 * size], known[:, 3 * size :]
+        orders = np.concatenate([before, halves], 1), np.concatenate([halves, after], 1)[:, ::-1]
+        h = np.zeros((2, len(halves), size), np.float32)
+        states = np.empty((len(halves), HALF, 2, size), np.float32)
+        for s in range(WINDOW):
+            at = orders[0][:, s], orders[1][:, s]
+            x = np.stack([gates[0][at[0]], gates[1][at[1]]])
+            m = np.stack([at[0] > 0, at[1] > 0]).astype(np.float32)[..., None]
+            g = h @ U
+            zr = _sigmoid(x[..., : 2 * size] + g[..., : 2 * size])
+            c = np.tanh(x[..., 2 * size :] + zr[..., size:] * g[..., 2 * size :])
+            h = h + m * (1 - zr[..., :size]) * (c - h)
+            if s >= HALF:
+                states[:, s - HALF, 0], states[:, WINDOW - 1 - s, 1] = h[0], h[1]
+        return states.reshape(len(halves), HALF, 2 * size)
+
     def backward(self, d: np.ndarray, x: np.ndarray, kept, grads: dict[str, np.ndarray]) -> np.ndarray:
         """Gradient of the elements ``x`` from that of the pooled output; adds those of the parameters."""
         steps, outs, u, share = kept
@@ -177,6 +208,11 @@ class Network:
         out = self.params["out"]
         return self.words.forward(gates, mask) @ out[:-1] + out[-1]
 
+    def weighed(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of each state in attention, and what it adds to a logit."""
+        A, c, v = (self.params[f"w.{k}"] for k in "Acv")
+        return np.exp((np.tanh(states @ A + c) @ v).astype(np.float64)), (states @ self.params["out"][:-1]).astype(np.float64)
+
     def step(self, windows: list[list[str]], labels: np.ndarray, weights: np.ndarray, drop: np.random.Generator) -> tuple[float, dict[str, np.ndarray]]:
         """Loss and gradients of one batch; the word embedding of half the words is hidden."""
         p = self.params
@@ -293,22 +329,46 @@ class Scorer:
     def highest(self, texts: list[str | None]) -> np.ndarray:
         """The highest logit over all windows of each text."""
         words = [words_of(text) for text in texts]
-        flat = self._rows([w for own in words for w in own])
-        rows, ends, at = [], [], 0
-        for own in words:
-            mine = flat[at : at + len(own)]
-            at += len(own)
-            if len(own) <= WINDOW:
-                made = np.zeros((1, WINDOW), np.int64)
-                made[0, : len(own)] = mine
-            else:
-                starts = np.array([s for s, _ in windows_of(len(own))])
-                made = mine[starts[:, None] + np.arange(WINDOW)]
-            rows.append(made)
-            ends.append(len(made))
-        if not rows:
+        if not words:
             return np.empty(0)
-        return np.maximum.reduceat(self._run(np.concatenate(rows)), np.cumsum([0, *ends[:-1]]))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        flat = self._rows([w for own in words for w in own])
+        # Texts lie one after the other in whole halves of a window, two at least, filled up with row 0.
+        halves = np.maximum(-(-sizes // HALF), WINDOW // HALF)
+        ends = np.cumsum(halves)
+        starts = (ends - halves) * HALF
+        rows = np.zeros((int(ends[-1]), HALF), np.int64)
+        rows.ravel()[np.arange(len(flat)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)] = flat
+        weights, parts = self._weighed(rows, ends)
+        over = _sums(weights), _sums(weights * parts)
+        heights = over[1] / np.maximum(over[0], 1e-300)
+        place = np.arange(len(heights)) - np.repeat(starts, halves * HALF)[: len(heights)]
+        heights[place > np.repeat(np.maximum(sizes - WINDOW, 0), halves * HALF)[: len(heights)]] = -np.inf  # runs into the next text
+        return np.maximum.reduceat(heights, starts) + float(self.network.params["out"][-1])
+
+    def _weighed(self, rows: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of each place (0 without a word) and its part of a logit; ``ends`` are the texts' ends in ``rows``."""
+        weights, parts = np.empty(rows.size), np.empty(rows.size)
+        opens, closes = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
+        opens[0], opens[ends[:-1]], closes[ends - 1] = True, True, True
+        for i in range(0, len(rows), RUN):
+            n = np.arange(i, min(i + RUN, len(rows)))
+            before = np.where(opens[n, None], 0, rows[n - 1])
+            after = np.where(closes[n, None], 0, rows[(n + 1) % len(rows)])
+            states = self.network.words.around(self.gates, rows[n], before, after)
+            block = slice(i * HALF, (i + len(n)) * HALF)
+            weight, part = self.network.weighed(states.reshape(-1, states.shape[-1]))
+            weights[block], parts[block] = np.where(rows[n].ravel() > 0, weight, 0), part
+        return weights, parts
+
+
+def _sums(values: np.ndarray) -> np.ndarray:
+    """The sum of ``WINDOW`` (a power of two) values from each place on."""
+    step = 1
+    while step < WINDOW:
+        values = values[:-step] + values[step:]
+        step *= 2
+    return values
 
 
 def _cells_of(word: str) -> list[int]:
@@ -392,16 +452,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", pe
     constant = float(totals[1] / totals.sum()) if totals.sum() else 0.0
     if not totals.all():
         return constant
-    odds = class_odds(labelled_sample(docs, labels, label, COUNTED, text=text), label, text)
-    found = likely_windows(labelled_sample(docs, labels, label, per_class, text=text), odds, label, text).toPandas()
-    if found["label"].nunique() < 2:  # labels of documents that are not there
+    apart = fold_of("doc_id", 5) == 1
+    fitting, calibrating = labels.where(~apart), labels.where(apart)
+    odds = class_odds(labelled_sample(docs, fitting, label, COUNTED, text=text), label, text)
+    found = likely_windows(labelled_sample(docs, fitting, label, per_class, text=text), odds, label, text).toPandas()
+    if found["label"].nunique() < 2:  # labels of documents that are not there, or none to train on
         return constant
     found = found.assign(key=[zlib.crc32(str(i).encode()) for i in found["doc_id"]]).sort_values(["key", "doc_id"])
     network = fit_windows([(int(y), [w.split() for w in ws]) for y, ws in zip(found["label"], found["windows"], strict=True)])
-    # Highest logits of whole documents; the model has seen some of them where there are few.
-    scored = logits(labelled_sample(docs, labels, label, 2 * per_class, text=text), network, text).select("doc_id", label, "logit").toPandas()
-    fresh = scored[~scored["doc_id"].isin(found["doc_id"])]
-    scored = fresh if fresh[label].value_counts().reindex([0, 1], fill_value=0).min() >= per_class // 4 else scored
+    scored = logits(labelled_sample(docs, calibrating, label, per_class, text=text), network, text).select(label, "logit").toPandas()
+    if scored[label].nunique() < 2:
+        return network
     y = scored[label].to_numpy(int)
     weights = (totals / totals.sum() / np.maximum(np.bincount(y, minlength=2) / len(y), 1e-9))[y]
     z = scored["logit"].to_numpy()
@@ -426,8 +487,7 @@ def best_cut(z: np.ndarray, y: np.ndarray, weights: np.ndarray) -> float:
 
 def logits(docs: DataFrame, network: Network, text: str = "text", logit: str = "logit") -> DataFrame:
     """All columns of ``docs`` and ``logit``, the highest over all windows of the text."""
-    if logit in docs.columns:
-        raise ValueError(f"the input already has a column named {logit}")
+    refuse(docs.columns, logit)
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,8 +496,7 @@ def logits(docs: DataFrame, network: Network, text: str = "text", logit: str = "
             values = scorer.highest(batch.column(batch.schema.get_field_index(text)).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values.astype(np.float64))], names=[*batch.schema.names, logit])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, `{logit}` double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(logit, T.DoubleType())]))
 
 
 def predictions(docs: DataFrame, network: Network | float) -> DataFrame:

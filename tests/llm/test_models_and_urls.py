@@ -152,6 +152,53 @@ def test_windows_cover_all_words():
         assert covered == set(range(n)) and all(e - s <= toxicity.WINDOW for s, e in toxicity.windows_of(n))
 
 
+def by_every_start(network, words):
+    """The highest logit, word by word and window by window."""
+    p, size = network.params, toxicity.HIDDEN
+    gates = network.word_gates(words) if words else np.zeros((0, 6 * size))
+
+    def read(order, way):
+        h = np.zeros(size)
+        for i in order:
+            x, g = gates[i][way * 3 * size : (way + 1) * 3 * size], h @ p["w.U"][way]
+            z, r = (1 / (1 + np.exp(-(x[a : a + size] + g[a : a + size]))) for a in (0, size))
+            h = z * h + (1 - z) * np.tanh(x[2 * size :] + r * g[2 * size :])
+        return h
+
+    states = []
+    for i in range(len(words)):
+        half = i // 8 * 8
+        states.append(np.concatenate([read(range(max(0, half - 8), i + 1), 0), read(range(min(len(words), half + 16) - 1, i - 1, -1), 1)]))
+    best = []
+    for start in range(max(1, len(words) - 15)):
+        own = np.array(states[start : start + 16]).reshape(-1, 2 * size)
+        weight = np.exp(np.tanh(own @ p["w.A"] + p["w.c"]) @ p["w.v"])
+        best.append((weight @ own / max(weight.sum(), 1e-300)) @ p["out"][:-1] + p["out"][-1])
+    return max(best)
+
+
+def test_every_window_is_scored(monkeypatch):
+    draw, network = random.Random(6), toxicity.Network()
+    texts = [prose(draw, n=n) for n in (1, 7, 8, 9, 15, 16, 17, 23, 24, 25, 31, 32, 33, 60, 200)] + [None, "", "?!"]
+    wanted = np.array([by_every_start(network, toxicity.words_of(t)) for t in texts])
+    assert np.abs(toxicity.Scorer(network).highest(texts) - wanted).max() < 1e-4
+    short = [toxicity.words_of(t) for t in texts[:6]]
+    assert np.abs(toxicity.Scorer(network).window_logits(short) - wanted[:6]).max() < 1e-4  # what training sees
+    monkeypatch.setattr(toxicity, "RUN", 3)
+    assert np.abs(toxicity.Scorer(network).highest(texts[::-1]) - wanted[::-1]).max() < 1e-4
+    assert len(toxicity.Scorer(network).highest([])) == 0
+
+
+def test_toxicity_columns_empty_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "a b")] * 50 + [(2, "c"), (3, None), (4, "d")], "doc_id long, text string")
+    known = spark.createDataFrame([(1, 0), (2, 1), (4, 1)], "doc_id long, y int")
+    assert labelled_sample(docs, known, "y", 1).count() <= 2  # rows are bounded, not ids alone
+    with pytest.raises(ValueError):
+        toxicity.logits(docs.withColumnRenamed("text", "LOGIT").withColumnRenamed("doc_id", "text"), toxicity.Network())
+    assert toxicity.predictions(docs.limit(0), toxicity.Network()).count() == 0
+    assert toxicity.predictions(docs, toxicity.train(docs, known, "y")).count() == 53
+
+
 URLS = [
     None, "", "no scheme", "http://A.Example.COM/en/x?q#f", "https://www.example.com/en/", "http://example.com/en", "http://notexample.com/en/a",
     "x://b.net/es/1", "http://b.net/fr/2", "http://b.net/de/?a=/fr/", "http://net/es/", "http://c.org", "http://c.org?x=http://d.com/", "http://u@e.com:80/p#/en/", "://y.com/", "http://ÉX.com/en/",
