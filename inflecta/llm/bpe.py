@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inflecta.llm.common import slices
+from inflecta.llm.common import refuse, slices
 
 #: Distinct chunks remembered by a worker before it starts anew: bounds its memory, changes no result.
 REMEMBERED = 500_000
@@ -166,6 +166,18 @@ def encode_pieces(pieces: list[bytes], merges: Merges) -> list[np.ndarray]:
     return [ids[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)]
 
 
+#: Places where every match of the pattern ends and a new one begins, told by two characters before and one behind:
+#: before a space after no white space, after a single line end, behind a letter or digit, before a sign or white space.
+_CUTS = regex.compile(r"(?<=\S)(?= )|(?<=\S\n)(?=[^\s/])|(?<=[\p{L}\p{N}])(?=[^\p{L}\p{N}\p{M}'’])")
+#: Characters of a chunk from which a text is cut at all such places.
+LONG_CHUNK = 256
+
+
+def pieces_of(text: str) -> list[str]:
+    """The text cut at every place where matches are known to meet; each piece is encoded by itself."""
+    return _CUTS.split(text)
+
+
 class Encoder:
     """Encodes texts, remembering chunks.
 
@@ -178,7 +190,7 @@ class Encoder:
         self.merges, self.split = merges, regex.compile(pattern).findall
         self.known: dict[str, bytes | None] = {}  # chunk after a space: ids as int32, or None if not spaced
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as int32, all matches encoded in blocks of bounded bytes."""
         cut = [self.split(text) for text in texts]
         new = list(set().union(*cut))
@@ -201,7 +213,7 @@ class Encoder:
             known.clear()
             new = list(chunks)
         spaced = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
-        ids = self._encode([*(" " + c for c in spaced), *texts])
+        ids = self.encode([*(" " + c for c in spaced), *texts])
         known.update(dict.fromkeys(new))
         known.update(zip(spaced, ids, strict=False))
         return ids[len(spaced) :]
@@ -214,12 +226,38 @@ class Encoder:
         find = self.known.__getitem__
         out = [list(map(find, parts)) for parts in cut]
         odd = [i for i, ids in enumerate(out) if ids and (not first[i] or first[i][-1].isspace() or None in ids)]
-        for i, ids in zip(odd, self._encode([texts[i] for i in odd]), strict=True):
+        for i, ids in zip(odd, self.encode([texts[i] for i in odd]), strict=True):
             own[i], out[i] = ids, []
         for ids, start in zip(out, own, strict=True):
             ids.insert(0, start)
         return out
 
+    def counts(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Characters and token counts (int32) of each text's leaves: its chunks, or its ``pieces_of`` where a chunk is long or not spaced."""
+        cut = [text.split(" ") for text in texts]
+        self._learn(set().union(*(parts[1:] for parts in cut)), [])
+        sizes = [np.fromiter(map(len, parts), np.int32, len(parts)) for parts in cut]
+        known, fine, first = self.known, [], []
+        for i, (parts, size) in enumerate(zip(cut, sizes, strict=True)):
+            if size.max() > LONG_CHUNK or (len(parts) > 1 and (not parts[0] or parts[0][-1].isspace() or any(known[c] is None for c in parts[1:]))):
+                fine.append(i)
+                cut[i] = pieces_of(texts[i])
+                sizes[i] = np.fromiter(map(len, cut[i]), np.int32, len(cut[i]))
+            else:
+                size[1:] += 1  # the space that a chunk begins with
+                first.append(parts[0])
+        apart = list({*first, *(piece for i in fine for piece in cut[i])})
+        own = dict(zip(apart, (len(ids) // 4 for ids in self.encode(apart)), strict=True))
+        out, fine = [], set(fine)
+        for i, (parts, size) in enumerate(zip(cut, sizes, strict=True)):
+            if i in fine:
+                n = np.fromiter(map(own.__getitem__, parts), np.int32, len(parts))
+            else:
+                n = np.fromiter((len(known[c]) for c in parts[1:]), np.int32, len(parts) - 1) // 4
+                n = np.concatenate([[own[parts[0]]], n]).astype(np.int32)
+            out.append((size, n))
+        return out
+
 
 def chunks_of(text: str, ids: list[bytes]) -> list[str]:
     """The chunks that ``ids`` are of."""
@@ -227,15 +265,9 @@ def chunks_of(text: str, ids: list[bytes]) -> list[str]:
     return [parts[0], *[" " + part for part in parts[1:]]]
 
 
-def _refuse(columns: list[str], *names: str) -> None:
-    taken = {c.lower() for c in columns} & set(names)
-    if taken:
-        raise ValueError(f"the input already has columns named {sorted(taken)}")
-
-
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """All columns of ``docs`` and ``ids``, an array of int, never NULL."""
-    _refuse(docs.columns, ids)
+    refuse(docs.columns, ids)
     merges = docs.sparkSession.sparkContext.broadcast(Merges(load_ranks(ranks_path)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +284,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
 
 def decode(rows: DataFrame, ranks_path: str, ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
     """All columns of ``rows`` and ``decoded``: the bytes of the tokens, joined; NULL ids give NULL."""
-    _refuse(rows.columns, decoded)
+    refuse(rows.columns, decoded)
     by_id = {rank: token for token, rank in load_ranks(ranks_path).items()}
     tokens = rows.sparkSession.sparkContext.broadcast(by_id)
 

@@ -1,16 +1,18 @@
 """Token counts that follow edits.
 
-``build_trees`` keeps for each document the leaves of a segment tree (chunks of whole pre-tokens, see
-``bpe.Encoder``): their lengths in characters and the tree of their token counts. ``apply_edits`` finds the leaves
-that an edit touches by descending a tree of lengths, re-encodes only these with the leaf to the left whose
-pre-tokens could reach the edit, and updates the sums above them. The rest of the text is never encoded again.
+``build_trees`` keeps for each document the leaves of a segment tree (a few whole pre-tokens each, about
+a word, see ``bpe.Encoder``): their lengths in characters and the tree of their token counts. ``apply_edits`` finds
+the leaves that an edit touches by descending a tree of lengths, re-encodes only these with the leaves whose
+pre-tokens could reach the edit, cuts them anew and updates the sums above them. A leaf holds at most ``CROWDED``
+pieces: where more come, leaves are put in and the sums (numbers only) are renewed. The rest of the text is never
+encoded again, whatever blanks it has.
 
 An edit is (start, end, replacement) in characters of the text as the edits before it left it; start and end are
 moved into the text, an end before the start counts as the start, a NULL replacement as empty. A NULL text counts
 as empty (edits may fill it); NULL edits are none, NULL bounds are 0. Repeated rows are counted each; further
 columns are passed through, a clash with an output name is refused by name.
 
-A leaf never gets smaller than a chunk, so a text without single spaces is one leaf: right, but encoded anew.
+A leaf never gets smaller than a pre-token, and a run of letters without any break is one pre-token.
 """
 
 from __future__ import annotations
@@ -24,12 +26,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from inflecta.llm.bpe import Encoder, Merges, _refuse, load_ranks
-from inflecta.llm.common import slices
+from inflecta.llm.bpe import Encoder, Merges, load_ranks, pieces_of
+from inflecta.llm.common import refuse, slices
 
 EDITS = "array<struct<start:int,end:int,replacement:string>>"
-#: How far behind a place a pre-token's match may look, in characters.
+#: Characters from which a place between leaves is told: so far before and behind an edit leaves are encoded again.
 CONTEXT = 3
+#: Pieces that a leaf holds at most.
+CROWDED = 16
 
 
 def sums_above(leaves: np.ndarray) -> np.ndarray:
@@ -44,7 +48,7 @@ def sums_above(leaves: np.ndarray) -> np.ndarray:
     return tree
 
 
-def _set(tree: np.ndarray, first: int, values: list[int]) -> None:
+def _set(tree: np.ndarray, first: int, values: np.ndarray) -> None:
     """Put ``values`` at leaves from ``first`` and renew the sums above them."""
     low = len(tree) // 2 + first
     high = low + len(values)
@@ -81,17 +85,32 @@ class CountedText:
         a = b = first = 0
         if size:
             a, first = _leaf_at(self.chars, max(0, min(start, size - 1) - CONTEXT))
-            b, last = _leaf_at(self.chars, min(end, size - 1))
+            b, last = _leaf_at(self.chars, min(end + CONTEXT, size - 1))
             stop = last + int(self.chars[len(self.chars) // 2 + b])
         else:
             stop = 0
         self.text = self.text[:start] + replacement + self.text[end:]
-        region = self.text[first : stop + len(replacement) - (end - start)]
-        self.encoded += len(region)
-        n = sum(map(len, self.encoder.ids([region])[0])) // 4
-        empty = [0] * (b - a)
-        _set(self.chars, a, [len(region), *empty])
-        _set(self.tokens, a, [n, *empty])
+        pieces = pieces_of(self.text[first : stop + len(replacement) - (end - start)])
+        self.encoded += sum(map(len, pieces))
+        chars = np.fromiter(map(len, pieces), np.int32, len(pieces))
+        tokens = np.fromiter(map(len, self.encoder.encode(pieces)), np.int32, len(pieces)) // 4
+        slots = b - a + 1
+        if len(pieces) > CROWDED * slots:
+            self._splice(a, b, chars, tokens)
+            return
+        # Dealt in order over the leaves there are.
+        starts = np.arange(slots) * len(pieces) // slots
+        for tree, values in ((self.chars, chars), (self.tokens, tokens)):
+            above = np.append(0, np.cumsum(values))
+            _set(tree, a, np.diff(above[np.append(starts, len(pieces))]))
+
+    def _splice(self, a: int, b: int, chars: np.ndarray, tokens: np.ndarray) -> None:
+        """Put new leaves in the place of leaves a to b."""
+        for name, values in (("chars", chars), ("tokens", tokens)):
+            tree = getattr(self, name)
+            leaves = tree[len(tree) // 2 :][: self.leaves]
+            setattr(self, name, sums_above(np.concatenate([leaves[:a], values, leaves[b + 1 :]])))
+        self.leaves += len(chars) - (b - a + 1)
 
 
 def build_trees(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -101,7 +120,7 @@ def build_trees(docs: DataFrame, ranks_path: str, pattern: str, text: str = "tex
 
 
 def _built(schema: T.StructType) -> T.StructType:
-    _refuse(schema.names, "leaf_chars", "token_tree", "n_tokens")
+    refuse(schema.names, "leaf_chars", "token_tree", "n_tokens")
     kinds = (("leaf_chars", T.BinaryType()), ("token_tree", T.BinaryType()), ("n_tokens", T.LongType()))
     return T.StructType([*schema.fields, *(T.StructField(n, k) for n, k in kinds)])
 
@@ -112,11 +131,9 @@ def _building(merges, pattern: str, text: str):
         for batch in slices(batches, text, 2048, 8 << 20):
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
             chars, trees, totals = [], [], []
-            for one, ids in zip(texts, encoder.ids(texts), strict=True):
-                sizes = np.fromiter(map(len, one.split(" ") if len(ids) > 1 else [one]), np.int32, len(ids))
-                sizes[1:] += 1  # the space that a chunk begins with
+            for sizes, ids in encoder.counts(texts):
                 chars.append(sizes.tobytes())
-                tree = sums_above(np.fromiter(map(len, ids), np.int32, len(ids)) // 4)
+                tree = sums_above(ids)
                 trees.append(tree.tobytes())
                 totals.append(int(tree[1]))
             new = [pa.array(chars, pa.binary()), pa.array(trees, pa.binary()), pa.array(totals, pa.int64())]
@@ -136,7 +153,7 @@ def apply_edits(trees: DataFrame, ranks_path: str, pattern: str, text: str = "te
 
 
 def _edited(schema: T.StructType) -> T.StructType:
-    _refuse(schema.names, "n_tokens_before", "n_edits", "chars_encoded")
+    refuse(schema.names, "n_tokens_before", "n_edits", "chars_encoded")
     kinds = (("n_tokens_before", T.LongType()), ("n_edits", T.IntegerType()), ("chars_encoded", T.LongType()))
     return T.StructType([*schema.fields, *(T.StructField(n, k) for n, k in kinds)])
 
@@ -184,7 +201,7 @@ def masking_edits(docs: DataFrame, text: str = "text", edits: str = "edits", mas
 
 
 def _masked(schema: T.StructType, edits: str) -> T.StructType:
-    _refuse(schema.names, edits)
+    refuse(schema.names, edits)
     return T.StructType([*schema.fields, T.StructField(edits, T._parse_datatype_string(EDITS))])
 
 

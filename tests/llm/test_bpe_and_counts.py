@@ -82,13 +82,53 @@ def test_edits_count_as_encoding_anew(spark, reference):
         assert leaves.sum() == len(text) and np.frombuffer(bytes(row.token_tree), np.int32)[1] == row.n_tokens
 
 
-def test_only_the_touched_region_is_encoded(spark):
-    docs = spark.createDataFrame([(1, "word " * 20000, [(50000, 50004, "other")])], f"doc_id long, text string, edits {counts.EDITS}")
-    row = counts.apply_edits(counts.build_trees(docs, PATH, PATTERN), PATH, PATTERN).first()
-    # The text ends in a blank before nothing, so it is spaced but for its end.
-    assert row.chars_encoded < 100 or row.chars_encoded == len("word " * 20000) + 1
-    docs = spark.createDataFrame([(1, "word " * 20000 + "end", [(50000, 50004, "other")])], f"doc_id long, text string, edits {counts.EDITS}")
-    assert counts.apply_edits(counts.build_trees(docs, PATH, PATTERN), PATH, PATTERN).first().chars_encoded < 100
+@pytest.mark.parametrize("text", [
+    "word " * 20000, "word " * 20000 + "end", "two  blanks " + "word " * 20000, "    indented\n" * 9000, "line\n" * 20000, "line\r\n\n" * 15000,
+    "a, b.  c\n\n" * 10000, "漢字、仮名。" * 17000, " lead" * 20000, "x=1;y=2;" * 12000,
+])
+def test_only_the_touched_region_is_encoded(reference, merges, text):
+    encoder = bpe.Encoder(merges, PATTERN)
+    (chars, tokens), = encoder.counts([text])
+    assert chars.sum() == len(text) and tokens.sum() == len(reference.encode_ordinary(text))
+    counted = counts.CountedText(text, chars, counts.sums_above(tokens), encoder)
+    counted.edit(50000, 50004, "other")
+    assert counted.encoded < 100 and counted.tokens[1] == len(reference.encode_ordinary(counted.text))
+    for _ in range(100):
+        counted.edit(50001, 50001, "new word, ")
+    assert counted.encoded < 30000 and counted.tokens[1] == len(reference.encode_ordinary(counted.text))
+    counted.edit(50001, 50001, "long insertion " * 1000)
+    before = counted.encoded
+    counted.edit(60000, 60003, "")
+    assert counted.encoded < before + 300 and counted.tokens[1] == len(reference.encode_ordinary(counted.text))
+
+
+def test_pieces_are_encoded_by_themselves(reference):
+    draw = random.Random(8)
+    for _ in range(4000):
+        text = "".join(draw.choice("ab'sl1,/é漢。\u0301\r\n\n   ") for _ in range(draw.randrange(30)))
+        pieces = bpe.pieces_of(text)
+        assert "".join(pieces) == text and sum((reference.encode_ordinary(p) for p in pieces), []) == reference.encode_ordinary(text), text
+
+
+def test_random_edits(reference, merges):
+    draw, encoder = random.Random(9), bpe.Encoder(merges, PATTERN)
+    for _ in range(200):
+        text = "".join(draw.choice("ab'sl1,é漢。\r\n\n    ") for _ in range(draw.randrange(80)))
+        (chars, tokens), = encoder.counts([text])
+        counted = counts.CountedText(text, chars, counts.sums_above(tokens), encoder)
+        for _ in range(15):
+            at = draw.randrange(len(counted.text) + 2)
+            counted.edit(at, at + draw.randrange(6), "".join(draw.choice("a's,\n  ") for _ in range(draw.choice([0, 1, 3, 40]))))
+            assert counted.tokens[1] == len(reference.encode_ordinary(counted.text)) and counted.chars[1] == len(counted.text)
+
+
+def test_clashes_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a", "b")], "doc_id long, text string, N_Tokens string")
+    with pytest.raises(ValueError):
+        counts.build_trees(docs, PATH, PATTERN)
+    with pytest.raises(ValueError):
+        bpe.encode(docs, PATH, PATTERN, ids="n_tokens")
+    assert counts.counts_after_masking(docs.limit(0), PATH, PATTERN).count() == 0
 
 
 def test_masking(spark, reference):
