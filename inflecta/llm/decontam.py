@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inflecta.llm.common import Scratch, slices
+from inflecta.llm.common import Scratch, refuse, slices
 
 K1, B = 1.2, 0.75
 #: Least score of a retrieved item; least share of n-grams of its question and of its answer.
@@ -292,8 +292,7 @@ def matched(docs: DataFrame, items: DataFrame, text: str = "text", matches: str
 
     ``start`` and ``end`` are the passage's place in words. Items without an id are left out.
     """
-    if matches in docs.columns:
-        raise ValueError(f"the input already has a column named {matches}")
+    refuse(docs.columns, matches)
     scratch = Scratch(docs.sparkSession)
     out = docs.withColumn(matches, F.array().cast(MATCH))
     for shard in shards_of(items, scratch):

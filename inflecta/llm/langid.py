@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inflecta.llm.common import fold_of, sample_of_classes, slices
+from inflecta.llm.common import fold_of, refuse, sample_of_classes, slices
 
 FEATURES = 1 << 15
 ORDERS = 3
@@ -183,9 +183,7 @@ def _vectors(rows: DataFrame, model: Model, text: str, lang: str) -> DataFrame:
 
 def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of ``docs``, ``lang_pred`` and ``score``."""
-    taken = {"lang_pred", "score"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"the input already has columns named {sorted(taken)}")
+    refuse(docs.columns, "lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,6 +23,7 @@ hash of their text, NULL ids come first. Further columns are passed through.
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from inflecta.llm.common import Scratch, slices
+from inflecta.llm.common import Scratch, refuse, slices
 from inflecta.operators.numbering import number_rows
 
 MIN_WORDS = 50
@@ -273,24 +274,26 @@ def _deleted(found: DataFrame, runs: DataFrame, min_words: int) -> DataFrame:
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All columns of ``docs``, ``text`` without its later copies of runs; ``n_lines`` and ``n_deleted`` are added."""
-    taken = {"n_lines", "n_deleted"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"the input already has columns named {sorted(taken)}")
+    refuse(docs.columns, "n_lines", "n_deleted")
     scratch = Scratch(docs.sparkSession)
     found = repeated_lines(docs.select("doc_id", "text"), min_words, scratch)
     suffixes, _ = ranked(found, scratch)
     array = common_prefixes(suffixes, found, scratch)
     gone = scratch.keep(_deleted(found, earlier_runs(array, scratch), min_words))
     scratch.drop_all()
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
-    joined = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["d"]) & (keyed["_h"] == gone["h"]), "left").select(*docs.columns, "gone")
+    tag = uuid.uuid4().hex  # names that no column of the caller has
+    lost_lines = f"gone_{tag}"
+    gone = gone.select(*(F.col(c).alias(f"{c}_{tag}") for c in ("d", "h", "gone")))
+    keyed = docs.withColumn(f"key_{tag}", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col(f"d_{tag}")) & (F.col(f"key_{tag}") == F.col(f"h_{tag}"))
+    joined = keyed.join(gone, same, "left").select(*(F.col(f"`{c}`") for c in docs.columns), F.col(lost_lines))
     names = docs.columns
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             texts, total, deleted = [], [], []
-            for text, lost in zip(columns["text"].to_pylist(), columns["gone"].to_pylist(), strict=True):
+            for text, lost in zip(columns["text"].to_pylist(), columns[lost_lines].to_pylist(), strict=True):
                 lines = [] if text is None else text.split("\n")
                 total.append(len(lines))
                 deleted.append(len(lost or ()))

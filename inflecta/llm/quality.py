@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inflecta.llm.common import class_sizes, fold_of, labelled_sample, slices
+from inflecta.llm.common import class_sizes, fold_of, labelled_sample, refuse, slices
 
 FEATURES = 1 << 16
 SHARES = (0.0, 0.02, 0.1, 0.3, 0.6)
@@ -207,9 +207,8 @@ def featured(rows: DataFrame, text: str) -> DataFrame:
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
-    """All columns of ``docs`` and ``score``, the probability of label 1."""
-    if score in docs.columns:
-        raise ValueError(f"the input already has a column named {score}")
+    """All columns of ``docs`` and ``score``, the probability of label 1; a clash of that name, in any case, is refused."""
+    refuse(docs.columns, score)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from inflecta.llm import decontam, linededup
+from inflecta.llm import decontam, langid, linededup, quality
 
 
 def without_later_copies(docs, min_words):
@@ -126,3 +126,16 @@ def test_one_and_ten_shards_give_equal_rows(spark, monkeypatch):
         monkeypatch.setattr(decontam, "SHARD_ITEMS", most)
         found[most] = sorted(map(tuple, decontam.leaks(docs, frame).collect()))
     assert len(found[1000]) > 80 and found[1000] == found[5]
+
+
+def test_names_of_the_caller(spark):
+    run = " ".join(f"w{i}" for i in range(9))
+    rows = [(1, f"{run}\nx", 5, 6, 7, 8), (2, f"y\n{run}", 5, 6, 7, 8)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _h int, d int, gone int, h int")
+    got = {r.doc_id: r for r in linededup.deduplicated(frame, 5).collect()}
+    assert got[2].text == "y" and got[1].n_deleted == 0 and tuple(got[2])[2:6] == (5, 6, 7, 8)
+    for name, apply in (("N_LINES", linededup.deduplicated), ("Lang_Pred", lambda f: langid.identified(f, None)), ("SCORE", lambda f: quality.scored(f, None))):
+        with pytest.raises(ValueError):
+            apply(frame.withColumnRenamed("d", name))
+    with pytest.raises(ValueError):
+        decontam.matched(frame.withColumnRenamed("d", "Matches"), frame)
