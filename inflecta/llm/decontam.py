@@ -12,7 +12,8 @@ n-grams of up to three words must stand in the passage. An item of one sentence
 
 Item count, mean length and the number of items with a word are those of all items, and passages are twice as long as
 the upper bound of the item's length class, a power of two: what is found of an item does not depend on how items are
-dealt to shards. Shards of bounded size are indexed in tasks and broadcast one by one; documents are never shuffled.
+dealt to shards. Shards of bounded size are indexed in tasks and broadcast; documents are never shuffled. One worker of a
+task goes through all shards for each batch of texts and holds one of them at a time.
 
 Defined results: NULL, empty and word-less texts and items match nothing; equal items match each; repeated rows are
 searched each; no items leave every document unmatched.
@@ -46,6 +47,7 @@ CLASS, ROUNDING = 32, 1e-5
 REMEMBERED = 300_000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 MATCH = "array<struct<item_id:bigint,score:double,question:double,answer:double,start:int,end:int>>"
+MATCH_ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
 def _word(token: str) -> str:
@@ -110,11 +112,22 @@ class Index:
         self.numbers = [[n for n, _ in postings[w]] for w in self.terms]
         self.weights = [[x for _, x in postings[w]] for w in self.terms]
         self.greatest = np.array([max(w) for w in self.weights], np.float64)
-        self.blocks = -(-max(len(found), 1) // BLOCK)
-        self.block_greatest = np.zeros((len(self.terms), self.blocks), np.float32)
-        for term, (numbers, weights) in enumerate(zip(self.numbers, self.weights, strict=True)):
+        # The greatest weight of each block that a term has postings in: by term, and one after the other for whole sums.
+        self.block_greatest: list[dict[int, float]] = []
+        for numbers, weights in zip(self.numbers, self.weights, strict=True):
+            blocks: dict[int, float] = {}
             for number, weight in zip(numbers, weights, strict=True):
-                self.block_greatest[term, number // BLOCK] = max(self.block_greatest[term, number // BLOCK], np.nextafter(np.float32(weight), np.float32(1)))
+                blocks[number // BLOCK] = max(blocks.get(number // BLOCK, 0.0), weight)
+            self.block_greatest.append(blocks)
+        sizes = [len(blocks) for blocks in self.block_greatest]
+        self.block_ends = np.cumsum([0, *sizes])
+        self.block_numbers = np.array([b for blocks in self.block_greatest for b in blocks], np.int64)
+        self.block_weights = np.array([w for blocks in self.block_greatest for w in blocks.values()], np.float64)
+
+    def bound(self, terms: np.ndarray) -> float:
+        """The greatest bound that any block gives for the terms."""
+        at = np.concatenate([np.arange(self.block_ends[t], self.block_ends[t + 1]) for t in terms.tolist()])
+        return float(np.bincount(self.block_numbers[at], self.block_weights[at]).max())
 
     def search(self, terms: list[int], least: float) -> list[tuple[int, float]]:
         """(number, score) of all items with ``least`` or more, by block-max WAND."""
@@ -142,7 +155,7 @@ class Index:
             number = cursors[pivot][0]
             block = number // BLOCK
             ahead = [c for c in cursors if c[0] <= number]
-            if sum(float(self.block_greatest[c[2], block]) for c in cursors if c[0] < (block + 1) * BLOCK) < low:
+            if sum(self.block_greatest[c[2]].get(block, 0.0) for c in cursors if c[0] < (block + 1) * BLOCK) < low:
                 # No item of this block reaches the threshold.
                 for cursor in cursors:
                     if cursor[0] < (block + 1) * BLOCK:
@@ -238,7 +251,7 @@ class Searcher:
         best = {}
         for i in np.flatnonzero(whole >= low).tolist():
             own = term[starts[i] : starts[i + 1] if i + 1 < len(starts) else len(term)]
-            if index.block_greatest[own].sum(0).max() < low:
+            if index.bound(own) < low:
                 continue
             hits = index.search(own.tolist(), self.least)
             if not hits:
@@ -293,29 +306,28 @@ def matched(docs: DataFrame, items: DataFrame, text: str = "text", matches: str
     ``start`` and ``end`` are the passage's place in words. Items without an id are left out.
     """
     refuse(docs.columns, matches)
-    scratch = Scratch(docs.sparkSession)
-    out = docs.withColumn(matches, F.array().cast(MATCH))
-    for shard in shards_of(items, scratch):
-        out = _add(out, docs.sparkSession.sparkContext.broadcast(shard), text, matches, (least, question, answer))
+    scratch, context = Scratch(docs.sparkSession), docs.sparkSession.sparkContext
+    shards = [context.broadcast(shard) for shard in shards_of(items, scratch)]
     scratch.drop_all()
-    return out
-
-
-def _add(docs: DataFrame, shard, text: str, matches: str, limits: tuple[float, float, float]) -> DataFrame:
-    kind = T.StructType([*(f for f in docs.schema if f.name != matches), T.StructField(matches, T._parse_datatype_string(MATCH))])
+    limits = least, question, answer
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searcher = ShardSearcher(pickle.loads(shard.value), *limits)
-        for batch in slices(batches, text):
-            names = list(batch.schema.names)
-            place = names.index(matches)
-            before = batch.column(place).to_pylist()
-            found = [sorted(own + searcher.search(one), key=lambda m: tuple(m.values())) for own, one in zip(before, batch.column(names.index(text)).to_pylist(), strict=True)]
-            columns = list(batch.columns)
-            columns[place] = pa.array(found, batch.schema.field(place).type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return docs.mapInArrow(run, kind)
+        searcher, order = None, list(range(len(shards)))
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text))
+            found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+            for number in order:
+                if searcher is None or searcher[0] != number:
+                    searcher = None  # the one before goes before the next one comes
+                    searcher = number, ShardSearcher(pickle.loads(shards[number].value), *limits)
+                    vars(shards[number]).pop("_value", None)  # a broadcast keeps what it has read
+                for row, own in enumerate(found):
+                    own += searcher[1].search(texts[row].as_py())
+            order.reverse()  # the last shard of a batch is the first of the next
+            made = pa.array([sorted(own, key=lambda m: tuple(m.values())) for own in found], MATCH_ARROW)
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, matches])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(matches, T._parse_datatype_string(MATCH))]))
 
 
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
