@@ -5,9 +5,14 @@ a squared distance of 2 - 2 * threshold. Unit vectors are rotated (a fixed ortho
 block is poor by how the input was made) and split into blocks of ``BLOCK`` dimensions. If all blocks of a pair were
 further apart than their share of the squared distance, the pair would be; so each link is found in some block:
 
-* In each block vectors are range-joined: strips of the first coordinate as wide as the block's radius, each strip
-  against itself and the next. A strip is cut into parts of about ``PART`` vectors by hash, and each pair of parts is a
-  unit of work, so neither a dense strip nor a large label meets in one task.
+* In each block vectors are range-joined over the cells of a k-d tree on all of the block's coordinates. A vector goes
+  to each cell that lies within the block's squared budget of it, summed over coordinates; the unit of two cells
+  gets the vectors of each that reach the other. Trees grow with the label, to cells of about ``PART`` vectors: the
+  more vectors, the smaller the share of the label that one of them meets.
+* Trees are fitted on a sample of about ``PER_LEAF`` vectors a cell, by hash; every vector is dealt by them. ``LEAVES``
+  bounds the cells of all trees, which are broadcast, and ``LABEL_LEAVES`` those of a label's. A cell that holds more
+  than ``PART`` vectors all the same is cut into parts by hash, and each pair of parts is a unit, so neither a
+  dense place nor a large label meets in one task.
 * A unit tests the block's distance, then verifies the candidates by cosine in double precision on the vectors as they
   came, and keeps a pair only in the first block that finds it.
 * It returns, for each vector, how many vectors it linked here and the least of those it is connected with here; so
@@ -22,19 +27,26 @@ part, their class has the least id that is not NULL.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inflecta.llm.common import Scratch
 from inflecta.llm.components import components
 
-THRESHOLD, BLOCK, PART = 0.93, 8, 1024
+THRESHOLD, BLOCK, PART = 0.93, 8, 2048
+#: Share of PART that a cell is planned for; sampled vectors for each cell of a tree.
+FILL, PER_LEAF = 0.75, 16
+#: Bounds of the cells of the trees of one label in one block, and of all trees of all labels and blocks.
+LABEL_LEAVES, LEAVES = 4096, 1 << 19
+#: Vectors of so many dimensions make parts of PART; those of more make smaller ones, of as many bytes.
+DIMENSIONS = 64
 
 
 def rotation(dim: int) -> np.ndarray:
@@ -79,55 +91,138 @@ def _prepared(vectors: DataFrame, code: str) -> DataFrame:
     return vectors.mapInArrow(run, f"vec_id {kind['vec_id']}, label {kind['label']}, dim int, digest binary, vector binary")
 
 
-def _strips(nodes: DataFrame, threshold: float, code: str, whole: bool) -> DataFrame:
-    """(node, label, dim, block, strip) for each block of each node; ``whole`` adds coordinates, count and vector."""
-    kept = ["node", "label", "dim", *(["n", "vector"] if whole else [])]
+class Tree:
+    """Cells of a block, by cuts of one coordinate after another: nodes in preorder, the left one next to its parent."""
+
+    def __init__(self, points: np.ndarray, leaves: int):
+        self.nodes: list[tuple[int, float, int]] = []  # coordinate, cut and place of the right node; -1, 0 and number of a cell
+        self.leaves = 0
+        self._grow(points, leaves)
+        self.axis, self.cut, self.right = (np.array(c, k) for c, k in zip(zip(*self.nodes, strict=True), (np.int16, np.float64, np.int32), strict=True))
+        del self.nodes
+
+    def _grow(self, points: np.ndarray, leaves: int) -> None:
+        """Cut where the points spread most, so that both sides get the share of the points that their cells are."""
+        if leaves > 1 and len(points) > 1:
+            axis = int(np.argmax(points.std(0)))
+            values = np.sort(points[:, axis])
+            at = int(np.searchsorted(values, values[len(values) * (leaves // 2) // leaves], "left"))
+            at = at or int(np.searchsorted(values, values[0], "right"))  # equal values stay together
+            if 0 < at < len(values):
+                cut, place = float(values[at]), len(self.nodes)
+                self.nodes.append((axis, cut, 0))
+                low = points[:, axis] < cut
+                self._grow(points[low], leaves // 2)
+                self.nodes[place] = axis, cut, len(self.nodes)
+                self._grow(points[~low], leaves - leaves // 2)
+                return
+        self.nodes.append((-1, 0.0, self.leaves))
+        self.leaves += 1
+
+    def reached(self, points: np.ndarray, budget: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, own cell, cell) for each cell within the squared distance ``budget`` of a row's point."""
+        own, rows_of, cell_of = np.zeros(len(points), np.int64), [], []
+        todo = [(0, np.arange(len(points)), np.zeros(points.shape), np.ones(len(points), bool))]
+        while todo:
+            at, rows, off, inside = todo.pop()
+            axis = int(self.axis[at])
+            if axis < 0:
+                own[rows[inside]] = self.right[at]
+                rows_of.append(rows)
+                cell_of.append(np.full(len(rows), self.right[at], np.int64))
+                continue
+            over = points[rows, axis] - self.cut[at]
+            for node, beyond, here in ((at + 1, over, over < 0), (int(self.right[at]), -over, over >= 0)):
+                further = off.copy()
+                np.maximum(further[:, axis], beyond, out=further[:, axis])
+                near = (further * further).sum(1) <= budget
+                if near.any():
+                    todo.append((node, rows[near], further[near], (inside & here)[near]))
+        rows = np.concatenate(rows_of)
+        return rows, own[rows], np.concatenate(cell_of)
+
+
+def budgets_of(dim: int, threshold: float) -> np.ndarray:
+    """Each block's share of the squared distance, with room for rounding."""
+    return np.array([(2 - 2 * threshold) * (b - a) / dim for a, b in blocks_of(dim)]) + 1e-9
+
+
+def _turned(vectors: pa.Array, dim: int, code: str) -> np.ndarray:
+    return _unit(np.frombuffer(b"".join(vectors.to_pylist()), code).reshape(-1, dim)) @ rotation(dim)
+
+
+def _trees(nodes: DataFrame, code: str, scratch: Scratch) -> dict[tuple[str, int], list[Tree]]:
+    """The trees of each block of each label (as text) and dimension that has more than one part."""
+    most = _most()
+    sizes = scratch.save(nodes.groupBy("label", "dim").agg(F.count("*").alias("size")).where(F.col("size") > most), "sizes")
+    leaves = F.least(F.lit(LABEL_LEAVES).cast("double"), F.ceil(F.col("size") / F.greatest(most * FILL, F.lit(1.0))))
+    total = sizes.agg(F.sum(leaves * F.ceil(F.col("dim") / BLOCK))).first()[0] or 0
+    sizes = sizes.withColumn("leaves", F.ceil(leaves / max(1.0, total / LEAVES)).cast("int")).where("leaves > 1")
+    drawn = F.pmod(F.xxhash64("digest"), F.lit(1 << 30)) < F.col("leaves") * PER_LEAF / F.col("size") * (1 << 30)
+    sample = nodes.select("label", "dim", "digest", "vector").join(sizes, ["label", "dim"]).where(drawn)
+
+    def grow(rows: pa.Table) -> pa.Table:
+        dim, leaves = rows["dim"][0].as_py(), rows["leaves"][0].as_py()
+        turned = _turned(rows["vector"], dim, code)
+        body = pickle.dumps([Tree(turned[:, a:b], leaves) for a, b in blocks_of(dim)])
+        return pa.table({"name": rows["name"].slice(0, 1), "dim": rows["dim"].slice(0, 1), "body": pa.array([body], pa.binary())})
+
+    sample = sample.select(F.col("label").cast("string").alias("name"), "dim", "leaves", "vector")
+    grown = sample.groupBy("name", "dim").applyInArrow(grow, "name string, dim int, body binary")
+    return {(r["name"], r["dim"]): pickle.loads(r["body"]) for r in grown.collect()}  # at most 2 * LEAVES cells
+
+
+def _most() -> Column:
+    """Vectors of a part."""
+    return F.greatest(F.lit(1), F.floor(F.lit(PART * DIMENSIONS) / F.greatest(F.col("dim"), F.lit(DIMENSIONS))))
+
+
+def _reached(nodes: DataFrame, threshold: float, code: str, trees) -> DataFrame:
+    """(node, name, dim, block, own, cell): each cell that a node reaches in each block, its own one among them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for large in batches:
-            for start in range(0, large.num_rows, 2048):
-                batch = large.slice(start, 2048)
-                dims = batch.column(batch.schema.get_field_index("dim")).to_numpy()
-                for dim in np.unique(dims).tolist():
-                    part = batch.filter(pa.array(dims == dim))
-                    raw = np.frombuffer(b"".join(part.column(part.schema.get_field_index("vector")).to_pylist()), code).reshape(-1, dim)
-                    turned = _unit(raw) @ rotation(dim)
-                    columns = [part.column(part.schema.get_field_index(c)) for c in kept]
-                    for number, (a, b) in enumerate(blocks_of(dim)):
-                        width = ((2 - 2 * threshold) * (b - a) / dim) ** 0.5 * (1 + 1e-9)
-                        own = [pa.array(np.full(len(raw), number, np.int32)), pa.array(np.floor(turned[:, a] / max(width, 1e-9)).astype(np.int64))]
-                        if whole:
-                            own.append(pa.array([c.tobytes() for c in turned[:, a:b]], pa.binary()))
-                        yield pa.RecordBatch.from_arrays([*columns, *own], names=[*kept, "block", "strip", *(["coords"] if whole else [])])
-
-    kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
-    schema = ", ".join([*(f"{c} {kinds[c]}" for c in kept), "block int", "strip long", *(["coords binary"] if whole else [])])
-    return nodes.select(*dict.fromkeys([*kept, "vector"])).mapInArrow(run, schema)
-
-
-def _units(nodes: DataFrame, threshold: float, code: str) -> DataFrame:
-    """The rows of all units of work: (unit, dim, block, side, node, n, coords, vector); side 0, 1, or 2 for both."""
-    place = ["label", "dim", "block", "strip"]
-    # A row for each strip: its number of parts.
-    parts = _strips(nodes, threshold, code, whole=False).groupBy(*place).agg(F.ceil(F.count("*") / PART).alias("parts"))
-    rows = _strips(nodes, threshold, code, whole=True).join(parts, place)
-    for name, step in (("following", -1), ("before", 1)):
-        other = parts.select("label", "dim", "block", (F.col("strip") + step).alias("strip"), F.col("parts").alias(name))
-        rows = rows.join(other, place, "left")
-    part = F.pmod(F.xxhash64("node"), F.col("parts"))
-
-    def unit(kind: str, strip, p, q, side):
-        return F.struct(F.lit(kind).alias("kind"), strip.alias("at"), p.alias("p"), q.alias("q"), side.alias("side"))
-
-    upto = lambda n: F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1), lambda t: t < n)
-    strip = F.col("strip")
-    side = lambda t: F.when(t == part, 2).when(part < t, 0).otherwise(1)
-    own = F.transform(upto(F.col("parts")), lambda t: unit("own", strip, F.least(part, t), F.greatest(part, t), side(t)))
-    ahead = F.transform(upto(F.coalesce("following", F.lit(0))), lambda t: unit("next", strip, part, t, F.lit(0)))
-    behind = F.transform(upto(F.coalesce("before", F.lit(0))), lambda t: unit("next", strip - 1, t, part, F.lit(1)))
-    rows = rows.withColumn("u", F.explode(F.concat(own, ahead, behind)))
-    name = F.concat_ws("|", F.col("label").cast("string"), "dim", "block", "u.kind", "u.at", "u.p", "u.q")
-    return rows.select(name.alias("unit"), "dim", "block", "u.side", "node", F.col("n"), "coords", "vector")
+            for start in range(0, large.num_rows, 1024):
+                table = pa.Table.from_batches([large.slice(start, 1024)])
+                keys = list(zip(table["name"].to_pylist(), table["dim"].to_pylist(), strict=True))
+                groups: dict[tuple[str | None, int], list[int]] = {}
+                for row, (name, dim) in enumerate(keys):
+                    groups.setdefault((name if (name, dim) in trees.value else None, dim), []).append(row)
+                for (name, dim), places in groups.items():
+                    part = table.take(pa.array(places)).combine_chunks()
+                    turned = None if name is None else _turned(part["vector"], dim, code)
+                    for block, (a, b) in enumerate(blocks_of(dim)):
+                        if name is None:
+                            rows, own = np.arange(len(places)), np.zeros(len(places), np.int64)
+                            cell = own
+                        else:
+                            rows, own, cell = trees.value[name, dim][block].reached(turned[:, a:b], budgets_of(dim, threshold)[block])
+                        found = part.select(["node", "name", "dim"]).take(pa.array(rows))
+                        for column, values in (("block", np.full(len(rows), block)), ("own", own), ("cell", cell)):
+                            found = found.append_column(column, pa.array(values, pa.int32()))
+                        yield from found.to_batches()
+
+    rows = nodes.select("node", F.col("label").cast("string").alias("name"), "dim", "vector")
+    return rows.mapInArrow(run, "node long, name string, dim int, block int, own int, cell int")
+
+
+def _units(nodes: DataFrame, reached: DataFrame) -> DataFrame:
+    """The rows of all units of work: (unit, dim, block, side, node, n, vector); side 0, 1, or 2 for both."""
+    place = ["name", "dim", "block"]
+    # A row for each cell of more than one part.
+    parts = reached.where("own = cell").groupBy(*place, "cell").agg(F.ceil(F.count("*") / F.first(_most())).alias("parts")).where("parts > 1")
+    rows = reached
+    for cell, count in (("own", "parts"), ("cell", "others")):
+        rows = rows.join(parts.select(*place, F.col("cell").alias(cell), F.col("parts").alias(count)), [*place, cell], "left")
+    rows = rows.withColumns({"parts": F.coalesce("parts", F.lit(1)), "others": F.coalesce("others", F.lit(1))})
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)))
+    mine, theirs = F.struct(F.col("own").alias("cell"), F.col("part").alias("part")), F.struct(F.col("cell").alias("cell"), F.col("other").alias("part"))
+    ends = F.array_sort(F.array(mine, theirs))
+    side = F.when(mine == theirs, 2).when(mine < theirs, 0).otherwise(1)
+    # The label comes last: it may hold the mark.
+    name = F.concat_ws("|", "dim", "block", *(F.get(ends, F.lit(i))[c] for i in (0, 1) for c in ("cell", "part")), "name")
+    rows = rows.select(name.alias("unit"), "dim", "block", side.alias("side"), "node")
+    return rows.join(nodes.select("node", "n", "vector"), "node").select("unit", "dim", "block", "side", "node", "n", "vector")
 
 
 def _least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -143,14 +238,14 @@ def _least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def linked_in_unit(dim: int, block: int, side: np.ndarray, coords: np.ndarray, raw: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def linked_in_unit(dim: int, block: int, side: np.ndarray, raw: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Places (a, b) of the links of a unit whose first block this is."""
-    blocks, whole = blocks_of(dim), 2 - 2 * threshold
-    budgets = np.array([whole * (e - s) / dim for s, e in blocks]) + 1e-9
+    blocks, budgets, turn = blocks_of(dim), budgets_of(dim, threshold), rotation(dim)
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     same = bool((side == 2).all())
+    vectors = _unit(raw)
+    coords = vectors @ turn[:, slice(*blocks[block])]
     squares = (coords * coords).sum(1)
-    vectors, turn = _unit(raw), rotation(dim) if block else None
     double = raw.astype(np.float64)
     norms = np.linalg.norm(double, axis=1)
     found_a, found_b = [], []
@@ -181,9 +276,8 @@ def _found(units: DataFrame, threshold: float, code: str) -> DataFrame:
         if table.num_rows < 2:
             return None
         dim, block = table["dim"][0].as_py(), table["block"][0].as_py()
-        coords = np.frombuffer(b"".join(table["coords"].to_pylist()), np.float64).reshape(table.num_rows, -1)
         raw = np.frombuffer(b"".join(table["vector"].to_pylist()), code).reshape(table.num_rows, dim)
-        a, b = linked_in_unit(dim, block, table["side"].to_numpy(), coords, raw, threshold)
+        a, b = linked_in_unit(dim, block, table["side"].to_numpy(), raw, threshold)
         if not len(a):
             return None
         n, node = table["n"].to_numpy(), table["node"].to_numpy()
@@ -223,7 +317,10 @@ def classes(vectors: DataFrame, threshold: float = THRESHOLD, vector: str = "emb
     nodes = rows.where("digest IS NOT NULL").groupBy("label", "dim", "digest")
     nodes = nodes.agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.first("vector").alias("vector"))
     nodes = scratch.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    found = scratch.save(_found(_units(nodes, threshold, code), threshold, code), "found")
+    trees = vectors.sparkSession.sparkContext.broadcast(_trees(nodes, code, scratch))
+    reached = scratch.save(_reached(nodes, threshold, code, trees), "reached")
+    found = scratch.save(_found(_units(nodes, reached), threshold, code), "found")
+    scratch.drop("reached")
     label = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch, "classes")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = nodes.select("node", "label", "dim", "digest", "n", "least").join(links, "node", "left").join(label, "node", "left")

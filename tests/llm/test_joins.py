@@ -108,7 +108,7 @@ def test_first_tokens_never_lose_a_link():
     assert linked > 500 and left_out > 100
 
 
-@pytest.mark.parametrize("part", [1024, 4])
+@pytest.mark.parametrize("part", [1024, 32, 4])
 def test_vector_classes(spark, monkeypatch, part):
     monkeypatch.setattr(nearvec, "PART", part)
     draw = np.random.default_rng(6)
@@ -141,5 +141,31 @@ def test_vector_classes(spark, monkeypatch, part):
     assert sum(count) > 500
 
 
+def test_cells_within_reach_hold_every_neighbour():
+    draw = np.random.default_rng(8)
+    points = np.concatenate([draw.standard_normal((600, 4)), np.zeros((50, 4)), np.ones((50, 4)) * draw.standard_normal((50, 1))])
+    tree = nearvec.Tree(points[::3], 20)
+    rows, own, cell = tree.reached(points, 0.09)
+    assert 10 < tree.leaves <= 20 and set(cell) == set(range(tree.leaves)) and len(rows) < 0.6 * len(points) * tree.leaves
+    home = dict(zip(rows.tolist(), own.tolist(), strict=True))
+    reach = set(zip(rows.tolist(), cell.tolist(), strict=True))
+    assert len(home) == len(points) and len(reach) == len(rows)
+    apart = ((points[:, None] - points[None]) ** 2).sum(2)
+    for a, b in np.argwhere(apart <= 0.09).tolist():
+        assert (a, home[b]) in reach
+    assert nearvec.Tree(np.zeros((9, 3)), 4).leaves == nearvec.Tree(np.zeros((0, 3)), 4).leaves == 1
+
+
+@pytest.mark.parametrize("leaves", [3, 1 << 19])
+def test_trees_are_bounded(spark, monkeypatch, leaves):
+    draw = np.random.default_rng(3)
+    monkeypatch.setattr(nearvec, "PART", 8)
+    monkeypatch.setattr(nearvec, "LEAVES", leaves)
+    table = [(i, [float(x) for x in draw.standard_normal(16)], "a|b") for i in range(120)]
+    table += [(200 + i, [x + 0.01 for x in v], label) for i, (_, v, label) in enumerate(table[:60])]
+    got = {r.vec_id: r for r in nearvec.classes(spark.createDataFrame(table, "vec_id long, embedding array<double>, label string")).collect()}
+    assert all(got[200 + i].component_id == got[i].component_id and got[i].n_links >= 1 for i in range(60))
+
+
 def test_vectors_of_nothing(spark):
     assert nearvec.classes(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
