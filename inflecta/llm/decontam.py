@@ -112,22 +112,20 @@ class Index:
         self.numbers = [[n for n, _ in postings[w]] for w in self.terms]
         self.weights = [[x for _, x in postings[w]] for w in self.terms]
         self.greatest = np.array([max(w) for w in self.weights], np.float64)
-        # The greatest weight of each block that a term has postings in: by term, and one after the other for whole sums.
+        # By term the greatest weight of each block that it has postings in.
         self.block_greatest: list[dict[int, float]] = []
         for numbers, weights in zip(self.numbers, self.weights, strict=True):
             blocks: dict[int, float] = {}
             for number, weight in zip(numbers, weights, strict=True):
                 blocks[number // BLOCK] = max(blocks.get(number // BLOCK, 0.0), weight)
             self.block_greatest.append(blocks)
-        sizes = [len(blocks) for blocks in self.block_greatest]
-        self.block_ends = np.cumsum([0, *sizes])
-        self.block_numbers = np.array([b for blocks in self.block_greatest for b in blocks], np.int64)
-        self.block_weights = np.array([w for blocks in self.block_greatest for w in blocks.values()], np.float64)
 
-    def bound(self, terms: np.ndarray) -> float:
-        """The greatest bound that any block gives for the terms."""
-        at = np.concatenate([np.arange(self.block_ends[t], self.block_ends[t + 1]) for t in terms.tolist()])
-        return float(np.bincount(self.block_numbers[at], self.block_weights[at]).max())
+    def block_bounds(self) -> np.ndarray:
+        """The greatest weights as a matrix (term, block), rounded up; made where an index is used, not sent."""
+        made = np.zeros((len(self.terms), -(-max(len(self.items), 1) // BLOCK)), np.float32)
+        for term, blocks in enumerate(self.block_greatest):
+            made[term, list(blocks)] = list(blocks.values())
+        return np.nextafter(made, np.float32(1), where=made > 0, out=made)
 
     def search(self, terms: list[int], least: float) -> list[tuple[int, float]]:
         """(number, score) of all items with ``least`` or more, by block-max WAND."""
@@ -233,6 +231,7 @@ class Searcher:
         # An item of up to half a passage stands whole in one of them.
         self.size = max(2 * CLASS, 2 * index.longest)
         self.step = self.size // 2
+        self.bounds = index.block_bounds()
 
     def search(self, terms: np.ndarray, words_of_text: Callable[[], list[str]]) -> list[dict]:
         """The best verified passage for each item found: ``terms`` of all words in order, -1 for words without one."""
@@ -251,7 +250,7 @@ class Searcher:
         best = {}
         for i in np.flatnonzero(whole >= low).tolist():
             own = term[starts[i] : starts[i + 1] if i + 1 < len(starts) else len(term)]
-            if index.bound(own) < low:
+            if self.bounds[own].sum(0).max() < low:
                 continue
             hits = index.search(own.tolist(), self.least)
             if not hits:
