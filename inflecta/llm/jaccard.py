@@ -16,8 +16,10 @@ How it is found, exactly:
 * A candidate pair is searched twice: in the first tokens that both share with any, which bound the overlap from above,
   and, where that bound reaches the overlap needed, in the whole sets. So whole sets are made and sent only of nodes with such a pair.
 * First each node is searched with one hub, the node among those it shares a token with that shares most tokens;
-  what links becomes a class. Then all candidate pairs of different classes are searched, each with the node
-  outside the largest class of its token as the query. Pairs inside a class need no search: the class is known.
+  what links becomes a class. A group whose members do not all link with one hub would leave pairs that grow with its
+  square: while many pairs are left, each round tries each node with one more, of another class, in linear work. Then all
+  candidate pairs of different classes are searched, each with the node outside the largest class of its token as
+  the query. Pairs inside a class need no search: the class is known. No round decides what is found, only how soon.
 
 Nothing is capped: large groups of copies are one class after the hubs, whatever their size, and a query's
 candidates go in chunks of bounded tokens over several tasks (a candidate that is longer goes alone).
@@ -46,6 +48,9 @@ WORDS, THRESHOLD = 5, 75
 SKETCH, LEVEL_BITS = 1 << 22, 6
 #: Tokens of a query's candidates that one task searches at a time; further candidates go to further tasks.
 CHUNK = 1 << 20
+#: Further hubs are tried while more than so many pairs a node are left, and each round leaves at most this share of them.
+#: The pairs left are counted for one query of so many, by hash: it tells only whether a round comes first.
+PAIRS_PER_NODE, LEAST_GAIN, ONE_IN = 1, 0.75, 16
 #: Bits of the bitmap that leaves out texts which share nothing, as a power of two.
 FILTER_BITS = 25
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -239,6 +244,38 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
 
 
+def _open_rows(shared: DataFrame, label: DataFrame) -> DataFrame:
+    """The rows of tokens with several classes: with the node's class, and the class of most rows of the token."""
+    labelled = shared.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = labelled.groupBy("token", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("token").agg(F.max(F.struct("size", "component")).alias("l"), F.count("*").alias("classes"))
+    mixed = largest.where("classes > 1").select("token", F.col("l.component").alias("largest"))
+    return labelled.join(mixed, "token")
+
+
+def _pairs(open_rows: DataFrame, threshold: int, one_in: int = 1) -> DataFrame:
+    """(x, y, y_n): distinct candidate pairs of different classes; x is outside its token's largest class, ``one_in`` of all x."""
+    outside = (F.col("component") != F.col("largest")) & (F.pmod(F.xxhash64("node"), F.lit(one_in)) == 0)
+    queries = _as(open_rows.where(outside), "x", "node", "n", "room", "component")
+    return (
+        queries.join(_as(open_rows, "y", "node", "n", "room", "component", "largest"), "token")
+        .where("x_component <> y_component AND (y_component = y_largest OR x < y)")
+        .where(_enough(threshold))
+        .select("x", "y", F.col("y_n").cast("long").alias("y_n"))
+        .distinct()
+    )
+
+
+def _further_hubs(open_rows: DataFrame, number: int, threshold: int) -> DataFrame:
+    """(x, y, y_n): each node with one of another class, of those outside the largest class of a common token; other ones in each round."""
+    place = F.xxhash64("node", F.lit(number)).alias("place")
+    hubs = open_rows.where("component <> largest").groupBy("token").agg(F.max(F.struct(place, "node", "n", "room", "component")).alias("hub"))
+    pairs = _as(hubs.select("token", "hub.*"), "x", "place", "node", "n", "room", "component").join(_as(open_rows, "y", "node", "n", "room", "component"), "token")
+    pairs = pairs.where((F.col("x_component") != F.col("y_component")) & _enough(threshold))
+    best = pairs.groupBy("y").agg(F.max(F.struct("x_place", "x")).alias("h"), F.first("y_n").cast("long").alias("y_n"))
+    return best.select(F.col("h.x").alias("x"), "y", "y_n")
+
+
 def search(query: np.ndarray, sets: list[np.ndarray], need: np.ndarray) -> list[int]:
     """Places in ``sets`` of those that have ``need`` tokens (one at least) of ``query``, by DivideSkip over its inverted lists."""
     if not len(query) or not sets:
@@ -370,24 +407,21 @@ def classes(docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD, tex
     )
     tried = scratch.save(tried, "tried")
     links = _links(tried, docs, nodes, firsts, order, words, threshold, scratch, "hubs")
-    label = components(links, scratch, "hubs")
-
-    labelled = shared.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = labelled.groupBy("token", "component").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("token").agg(F.max(F.struct("size", "component")).alias("l"), F.count("*").alias("classes"))
-    mixed = largest.where("classes > 1").select("token", F.col("l.component").alias("largest"))
-    open_rows = scratch.save(labelled.join(mixed, "token"), "open")
-    queries = _as(open_rows.where("component <> largest"), "x", "node", "n", "room", "component")
-    pairs = (
-        queries.join(_as(open_rows, "y", "node", "n", "room", "component", "largest"), "token")
-        .where("x_component <> y_component AND (y_component = y_largest OR x < y)")
-        .where(_enough(threshold))
-        .select("x", "y", F.col("y_n").cast("long").alias("y_n"))
-        .distinct()
-    )
-    pairs = scratch.save(pairs, "pairs")
+    # Members of one class that do not link with its first hub are tried with further ones, before they meet in pairs.
+    number, enough, before = 0, PAIRS_PER_NODE * nodes.count(), None
+    while True:
+        label = components(links, scratch, f"hubs-{number}")
+        open_rows = scratch.save(_open_rows(shared, label), f"open-{number}")
+        left = _pairs(open_rows, threshold, ONE_IN).count() * ONE_IN
+        if left <= enough or (before is not None and left > before * LEAST_GAIN):
+            break
+        number, before = number + 1, left
+        tried = scratch.save(_further_hubs(open_rows, number, threshold), f"tried-{number}")
+        links = links.unionByName(_links(tried, docs, nodes, firsts, order, words, threshold, scratch, f"hubs-{number}"))
+        scratch.drop(f"open-{number - 1}", f"tried-{number}")
+    pairs = scratch.save(_pairs(open_rows, threshold), "pairs")
     more = _links(pairs, docs, nodes, firsts, order, words, threshold, scratch, "pairs")
-    scratch.drop("pairs", "open", "shared", "tried", "firsts")
+    scratch.drop("pairs", f"open-{number}", "shared", "tried", "firsts")
     final = components(links.unionByName(more), scratch, "all")
 
     least = nodes.join(final, "node").groupBy("component").agg(F.min("least").alias("component_id"))

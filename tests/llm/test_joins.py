@@ -50,9 +50,11 @@ def near_copies(draw):
     return texts
 
 
-@pytest.mark.parametrize("chunk", [1024, 3])
-def test_jaccard_classes(spark, monkeypatch, chunk):
+@pytest.mark.parametrize(("chunk", "pairs"), [(1024, 1), (3, 0)])
+def test_jaccard_classes(spark, monkeypatch, chunk, pairs):
     monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    monkeypatch.setattr(jaccard, "PAIRS_PER_NODE", pairs)  # 0: further hubs come first
+    monkeypatch.setattr(jaccard, "ONE_IN", 1)
     draw = random.Random(9)
     texts = near_copies(draw) + [None, "", "  \n", "one two", "one  TWO", "One two", "a b c d e", "é É x y z", "x " * 3000, "x " * 2000]
     rows = list(enumerate(texts)) + [(3, texts[3]), (None, "no id at all here friend"), (None, "one two")]
