@@ -83,3 +83,14 @@ def test_key_filter_keeps_every_key(spark):
     assert kept.join(keys, "key", "left_semi").count() == 3000
     assert kept.count() < 3000 + 1500
     assert many.where(key_filter(keys.where("false"), "key")(F.col("key"))).count() == 0
+
+
+def test_blocks_of_pages_are_not_broadcast(spark, tmp_path):
+    # The size of a file is known, and small.
+    units = spark.createDataFrame([("v", "voix_passive", "indicatif", "present")], "verb string, voice string, mood string, tense string")
+    verbs = spark.createDataFrame([("v", None)], "verb string, rectification_1990_variante string")
+    spark.createDataFrame([("v", "<div></div>")], "verb string, html string").write.parquet(f"{tmp_path}/pages")
+    pages = spark.read.parquet(f"{tmp_path}/pages")
+    plan = plan_of(audit.evidence(units, verbs, pages))
+    top = next(row for row in plan.splitlines() if "Join" in row)
+    assert "SortMergeJoin" in top
