@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from inflecta.functions import html as h
@@ -61,3 +62,34 @@ def test_parts_of_a_column(spark):
     for parts in ((), ("links",)):
         with pytest.raises(ValueError, match="parts are"):
             h.page_nodes("html", *parts)
+
+
+def test_nodes_of_few_pages_are_held_at_a_time(monkeypatch):
+    held, most = [], []
+
+    def walk(page, parts):
+        held.append(page)
+        return {"text": page}
+
+    class Arrow:
+        def __getattr__(self, name):
+            return getattr(pa, name)
+
+        def array(self, values, **more):
+            most.append(len(held))
+            held.clear()
+            return pa.array(values, **more)
+
+    monkeypatch.setattr(h, "_walk", walk)
+    monkeypatch.setattr(h, "pa", Arrow())
+    pages = pa.array([f"p{i}" for i in range(1000)])
+    assert h.arrow_nodes(pages, frozenset(["text"])).field("text").to_pylist() == pages.to_pylist()
+    assert max(most) <= h.PAGES_AT_ONCE and h.arrow_nodes(pages.slice(0, 0), frozenset(["text"])).to_pylist() == []
+
+
+def test_tags_that_repeat_are_read_once():
+    h._KNOWN.clear()
+    assert read('<div class="a">x</div><div class="a">y</div>', ["text"], True) == {"text": "xy"}
+    assert set(h._KNOWN) == {'div class="a"', "/div"}
+    h._Walker("".join(f'<p id="{i}">' for i in range(2 * h._KNOWN_TAGS)), frozenset(["text"]))
+    assert len(h._KNOWN) <= h._KNOWN_TAGS
