@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query, table
 from checks.rules import TWINS, twinned
-from checks.star import VOIX, conjugaisons, participes, star, verbes, with_star
+from checks.star import VOIX, conjugaisons, participes, smallest, star, verbes, with_star
 from inflecta.operators import audit as a
 from inflecta.operators import documents as d
 from inflecta.operators import homonyms as h
@@ -223,7 +223,7 @@ def audit_tables(spark, sf):
         F.col("l_partkey").alias("id"), F.expr(VOIX).alias("voice"), F.expr(AUDIT_MOOD).alias("mood"), F.lit("present").alias("tense"),
         person.alias("personne"), F.expr(AUDIT_FORM).alias("form"), "l_tax", "l_discount", "l_linenumber", "l_orderkey",
     )
-    forms = keyed.groupBy("id", "voice", "mood", "tense", "personne").agg(F.min("form").alias("conjugaison")).join(names, "id").select(*d.COLUMNS)
+    forms = keyed.groupBy("id", "voice", "mood", "tense", "personne").agg(smallest([" ", "a;b", "parle"], "form").alias("conjugaison")).join(names, "id").select(*d.COLUMNS)
     verbs, _ = twinned(spark, sf)
     respelled = s.verbes.where("rectification_1990").select(
         F.col("rectification_1990_variante").alias("verb"), F.lit("voix_passive").alias("voice"), F.lit("indicatif").alias("mood"),
@@ -287,8 +287,9 @@ def _a10(spark, sf):
 )
 def _v9(spark, sf):
     verbs, rows, pages, log = audit_tables(spark, sf)
-    after = a.auto_audit(a.classify_units(verbs, rows, pages, log), log, ts=F.lit("now"))
-    return a.progress(a.units(rows), after)
+    facts = durable(a.unit_facts(rows))
+    after = a.auto_audit(a.classify_facts(verbs, facts, pages, log), log, ts=F.lit("now"))
+    return a.progress(facts.select(*a.UNIT), after)
 
 
 @query("v10_j9_unaudited_passive", over_audit("SELECT verb, voice, mood, tense FROM facts WHERE voice = 'voix_passive' AND (verb, voice, mood, tense) NOT IN (SELECT (verb, voice, mood, tense) FROM audit_log)"

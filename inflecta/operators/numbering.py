@@ -18,11 +18,12 @@ def number_rows(rows: DataFrame, order: Sequence[str], name: str, within: Sequen
 
     Rows are range partitioned by group and order, so a large group is spread over several slices;
     a row's number is its place in its slice plus the sizes of the earlier slices of its group.
-    The sliced rows are made durable first, because both uses must see the same slices.
+    The sliced rows are made durable first, because both uses must see the same slices; the rows before them,
+    because a range partitioning samples its input, which would be computed twice.
     """
     keys = list(within)
     sliced = durable(
-        rows.repartitionByRange(*keys, *order)
+        durable(rows).repartitionByRange(*keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_slice", F.shiftright("_row", _ROW_BITS))

@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from checks.star import smallest
 from inflecta.functions.text import key_filter
 from inflecta.operators import audit
 from inflecta.operators import extract as x
 from inflecta.operators.merging import merge_identical
+from inflecta.operators.numbering import number_rows
 from inflecta.operators.star import read_star, write_star
 from inflecta.plans import lookups as q
 from tests.pages import line, mood, page, tense, voice
@@ -94,3 +96,35 @@ def test_blocks_of_pages_are_not_broadcast(spark, tmp_path):
     plan = plan_of(audit.evidence(units, verbs, pages))
     top = next(row for row in plan.splitlines() if "Join" in row)
     assert "SortMergeJoin" in top
+
+
+def test_the_smallest_of_few_values_is_not_sorted_for(spark, rows):
+    few = spark.createDataFrame([(1, "parlé"), (1, "allé"), (2, "parlé"), (3, None)], "k long, participe string").groupBy("k").agg(smallest(["parlé", "allé"], "participe"))
+    assert rows(few) == [(1, "allé"), (2, "parlé"), (3, None)]
+    assert "SortAggregate" not in plan_of(few)
+
+
+def test_numbered_rows_are_computed_once(spark):
+    count = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            count.add(batch.num_rows)
+            yield batch
+
+    numbered = number_rows(spark.range(1000, numPartitions=3).mapInArrow(seen, "id long"), ["id"], "n")
+    assert numbered.where("n = id + 1").count() == 1000 and count.value == 1000
+
+
+def test_roots_are_found_without_table_lines(spark, rows):
+    pages = spark.createDataFrame([("v", "A9X", page("A9X")), ("w", "none", "<p>x</p>")], "verb string, verb_id string, html string")
+    roots = x.roots_of(pages)
+    assert rows(roots) == rows(x.extract_pages(pages), "verb", "root_id") and "tenses" not in roots._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_units_and_facts_of_one_pass(spark, rows):
+    long = spark.createDataFrame([("v", "voix_passive", "indicatif", "present", "1sm", "x"), ("v", "voix_passive", "indicatif", "none", "1sm", "x")], "verb string, voice string, mood string, tense string, personne string, conjugaison string")
+    verbs = spark.createDataFrame([("v", False, False, None)], "verb string, h_aspire boolean, rectification_1990 boolean, rectification_1990_variante string")
+    pages, log = spark.createDataFrame([("v",)], "verb string"), long.where("false").select(*audit.UNIT)
+    facts = audit.unit_facts(long)
+    assert rows(facts, *audit.UNIT) == rows(audit.units(long)) and rows(audit.classify_facts(verbs, facts, pages, log)) == rows(audit.classify_units(verbs, long, pages, log))
