@@ -122,6 +122,24 @@ def test_roots_are_found_without_table_lines(spark, rows):
     assert rows(roots) == rows(x.extract_pages(pages), "verb", "root_id") and "tenses" not in roots._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_steps_of_a_page_are_not_written_out_below_themselves(spark, rows):
+    html = page("A9X", voice("voix_passive", mood("passive_ind", tense("Présent", line("vu", "je ")), tense("Autre", line("vu", "je ")))))
+    pages = spark.createDataFrame([("v", "A9X", html), ("w", "A9X", "<p>x</p>")], "verb string, verb_id string, html string")
+    extracted = x.extract_pages(pages)
+    found = {
+        x.verbs_of: [("v", "A9X", False)], x.rejected_pages: [("w", "A9X", "no root block")], x.voices_of: [("v", "voix_passive")],
+        x.moods_of: [("v", "voix_passive", "indicatif")], x.tenses_of: [("v", "voix_passive", "indicatif", "present")],
+        x.unknown_titles: [("v", "voix_passive", "indicatif", "autre")], x.participle_forms: [],
+        x.page_forms: [("v", "voix_passive", "indicatif", "present", "1sm;1sf", "vu")],
+        lambda e: x.unmapped_forms(x.person_forms(e)): [],
+    }
+    for job, expected in found.items():
+        got = job(extracted)
+        # Each block of a voice is looked for in one place of the plan; copies of the steps would look in hundreds.
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("voix_active_être") <= 1
+        assert rows(got) == expected
+
+
 def test_units_and_facts_of_one_pass(spark, rows):
     long = spark.createDataFrame([("v", "voix_passive", "indicatif", "present", "1sm", "x"), ("v", "voix_passive", "indicatif", "none", "1sm", "x")], "verb string, voice string, mood string, tense string, personne string, conjugaison string")
     verbs = spark.createDataFrame([("v", False, False, None)], "verb string, h_aspire boolean, rectification_1990 boolean, rectification_1990_variante string")
