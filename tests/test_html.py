@@ -93,3 +93,55 @@ def test_tags_that_repeat_are_read_once():
     assert set(h._KNOWN) == {'div class="a"', "/div"}
     h._Walker("".join(f'<p id="{i}">' for i in range(2 * h._KNOWN_TAGS)), frozenset(["text"]))
     assert len(h._KNOWN) <= h._KNOWN_TAGS
+
+
+def nested(draw, depth=0):
+    """Well nested markup of tags that mean something where they stand, and anywhere else."""
+    names = ["div", "div", "article", "p", "table", "span", "h4", "ul", "li", "tr", "td", "b"]
+    attributes = [
+        "", ' id="a"', ' class="tense x"', ' class="tense"', " class='grid' id='b'", ' class="conj_line"', ' class="conj_verb"', ' class="conj_auxil"', ' class="conj_refl-pron conj_verb"',
+        ' class="conj_pp"', ' class="or"', ' class="forme_rectif"', ' class="relation"', ' class="or forme_rectif"',
+    ]
+    parts = []
+    for _ in range(draw.randint(0, 4 if depth else 8)):
+        if depth < 6 and draw.random() < 0.6:
+            name = draw.choice(names)
+            parts.append(f"<{name}{draw.choice(attributes)}>{nested(draw, depth + 1)}</{name}>")
+        else:
+            parts.append(draw.choice(["je ", "é, ée", " ", "\n", " x > y ", "&amp;", "&nbsp;a", "<br>", "<hr/>", "<!-- n -->", "𝄞", tense(*["x"], line("va" + reform("v") + alternative("u"), "je ", "s’", "a"), line(), line(None, "tu "))]))
+    return "".join(parts)
+
+
+@pytest.mark.parametrize("parts", [("text", "blocks", "tenses"), ("blocks",), ("blocks", "headings")])
+def test_scanned_pages_have_the_nodes_of_walked_ones(parts, monkeypatch):
+    draw, wanted, walked = random.Random(23), frozenset(parts), []
+    kind, walk = h._kind(wanted), h._walk
+    pages = [None, "", "x", "a > b", "<", ">", "<!doctype html>", "x<!doctype html>", "<!doctype html><!doctype html>", "<div", "<![foo[bar]]>", "a &amp; b", "<p>a</p>&amp", "<div/>", "<br/>"]
+    pages += [draw.choice(["", "<!DOCTYPE html>", "\n"]) + nested(draw) for _ in range(400)]
+    pages += ["".join(draw.choice(ODD if draw.random() < 0.02 else FRAGMENTS) for _ in range(draw.randint(0, 12))) for _ in range(300)]
+    pages += [indicative(draw) for _ in range(100)]
+    draw.shuffle(pages)
+    expected = pa.array([walk(text, wanted) for text in pages], type=kind)
+    monkeypatch.setattr(h, "_walk", lambda text, parts: walked.append(text) or walk(text, parts))
+    for scanned, size in ((512, 4 << 20), (7, 4 << 20), (512, 3000)):
+        monkeypatch.setattr(h, "PAGES_SCANNED", scanned)
+        monkeypatch.setattr(h, "BYTES_SCANNED", size)
+        walked.clear()
+        got = h.arrow_nodes(pa.array([None, *pages, None]).slice(1, len(pages)), wanted)
+        got.validate(full=True)
+        assert got.type == kind and got.to_pylist() == expected.to_pylist()
+        # Markup that is not plain, not well nested or tables and tenses within their like are left to the walker.
+        assert len(pages) - len(walked) > 200
+
+
+def indicative(draw):
+    lines = [line("connaît" + reform("connait"), "il, elle "), line("dû, due" + reform("du"), "nous ", refl="nous", aux="avons"), line("a" + alternative("b")), line(None, "je ")]
+    tenses = [tense(title, *draw.sample(lines, draw.randint(0, 4))) for title in ("Présent", "Passé composé", "Imparfait")]
+    return page("A9X", "<p>(H aspiré)</p>", voice("voix_prono", mood("prono_ind", *tenses), mood("prono_imp", tenses[0])))
+
+
+def test_pages_of_conjugations_are_scanned(monkeypatch):
+    pages = pa.array([indicative(random.Random(i)) for i in range(50)])
+    expected = pa.concat_arrays(h._walked(pages, frozenset(["text", "blocks", "tenses"]), h._kind(["text", "blocks", "tenses"])))
+    monkeypatch.setattr(h, "_walk", None)
+    assert h.arrow_nodes(pages, frozenset(["text", "blocks", "tenses"])).equals(expected)
