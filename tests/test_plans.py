@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from checks.star import smallest
-from inflecta.functions.text import key_filter
-from inflecta.operators import audit
+from inflecta.functions.text import WHITESPACE, key_filter, squeeze
+from inflecta.operators import audit, documents
 from inflecta.operators import extract as x
 from inflecta.operators.merging import merge_identical
 from inflecta.operators.numbering import number_rows
@@ -140,6 +140,28 @@ def test_steps_of_a_page_are_not_written_out_below_themselves(spark, rows):
         assert rows(got) == expected
 
 
+def test_texts_of_a_participle_are_squeezed_once(spark, rows):
+    lines = (line("né, née, nés, nées"), line("étant né, née, nés, nées"))
+    html = page("A9X", voice("voix_prono", mood("prono_par", tense("Passé", *lines))), voice("voix_passive", mood("passive_par", tense("Présent", line("étant vu, vue, vus, vues")))))
+    found = x.participle_forms(x.extract_pages(spark.createDataFrame([("v", "A9X", html)], "verb string, verb_id string, html string")))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") <= 10
+    assert len(rows(found)) == 12 and ("v", "voix_passive", "present_sf", "étant vue") in rows(found)
+
+
+def test_texts_are_quoted_as_json(spark):
+    texts = spark.createDataFrame([("a",), (None,), ("[x]",), ('"]',), ("",), ("[",)], "t string")
+    quoted = texts.select(documents._quoted(F.col("t")).alias("q"))
+    assert [r.q for r in quoted.collect()] == ['"a"', "null", '"[x]"', '"\\"]"', '""', '"["']
+    assert quoted._jdf.queryExecution().optimizedPlan().toString().count("StructsToJson") == 1
+
+
+def test_every_white_space_is_squeezed(spark):
+    points = [c for c in range(0x3100) if c not in range(0xD800, 0xE000)]
+    texts = spark.createDataFrame([(c, f"a{chr(c)}{chr(c)}b") for c in points], "c int, t string")
+    found = {r.c for r in texts.where(squeeze(F.col("t")) == "a b").collect()}
+    assert found == {ord(c) for c in WHITESPACE}
+
+
 def test_units_and_facts_of_one_pass(spark, rows):
     long = spark.createDataFrame([("v", "voix_passive", "indicatif", "present", "1sm", "x"), ("v", "voix_passive", "indicatif", "none", "1sm", "x")], "verb string, voice string, mood string, tense string, personne string, conjugaison string")
     verbs = spark.createDataFrame([("v", False, False, None)], "verb string, h_aspire boolean, rectification_1990 boolean, rectification_1990_variante string")
